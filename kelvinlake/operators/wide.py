@@ -61,7 +61,7 @@ def widen(rows: DataFrame, entity: Sequence[str], attribute: str | Column, value
             chosen = F.when(F.col("__id") == i, F.expr(e)).otherwise(chosen)
         values.append(chosen)
     entries = F.array(*(F.struct(w.alias("name"), x.alias("x")) for w, x in zip(which, values, strict=True)))
-    long = base.select(*entity, F.explode(entries).alias("e")).select(*entity, F.col("e.name").alias("column_name"), F.col("e.x").alias("__x")).filter(F.col("column_name").isNotNull() & F.col("__x").isNotNull())
+    long = base.select(*entity, F.explode(entries).alias("__e")).select(*entity, F.col("__e.name").alias("column_name"), F.col("__e.x").alias("__x")).filter(F.col("column_name").isNotNull() & F.col("__x").isNotNull())
     reduced = long.groupBy(*entity, "column_name").agg(F.avg("__x").alias("__x"), F.count(F.lit(1)).alias("__n"))
     narrow = written(reduced.select(*entity, "__x", "__n", "column_name"), "narrow", ["column_name"])
     tables = [
