@@ -1,0 +1,78 @@
+"""Literal text that a regular expression cannot match without: a filter that lets most patterns go untried."""
+
+from __future__ import annotations
+
+import re
+from re import _constants as _c
+from re import _parser
+
+
+def _literals(parsed) -> set[str] | None:
+    """A set of substrings of which every match holds at least one, or None if none is certain."""
+    candidates: list[set[str]] = []
+    run = ""
+
+    def close() -> None:
+        nonlocal run
+        if len(run) > 1:
+            candidates.append({run})
+        run = ""
+
+    for op, arg in parsed:
+        if op is _c.LITERAL:
+            run += chr(arg)
+            continue
+        close()
+        found = None
+        if op is _c.SUBPATTERN:
+            found = _literals(arg[3])
+        elif op is _c.BRANCH:
+            parts = [_literals(b) for b in arg[1]]
+            found = set().union(*parts) if all(parts) else None
+        elif op in (_c.MAX_REPEAT, _c.MIN_REPEAT) and arg[0] > 0:
+            found = _literals(arg[2])
+        if found:
+            candidates.append(found)
+    close()
+    return max(candidates, key=lambda s: (min(map(len, s)), -len(s)), default=None)
+
+
+def required(pattern: str) -> set[str]:
+    """Substrings of which every match of the pattern holds at least one; empty if nothing is certain.
+
+    A literal followed by an optional or repeated part is read as a whole only up to that part.
+    """
+    return _literals(_parser.parse(pattern)) or set()
+
+
+class PatternSet:
+    """Many patterns searched in one text: an Aho-Corasick pass names the patterns worth trying."""
+
+    def __init__(self, patterns: list[str]):
+        self.patterns = [re.compile(p) for p in patterns]
+        self.literals = [required(p) for p in patterns]
+        self._automaton = None
+
+    def __getstate__(self):
+        return [p.pattern for p in self.patterns]
+
+    def __setstate__(self, patterns):
+        self.__init__(patterns)
+
+    def search(self, text: str) -> list[int]:
+        """Indices of the patterns that match somewhere."""
+        if self._automaton is None:
+            import ahocorasick
+
+            self._automaton = ahocorasick.Automaton()
+            by: dict[str, list[int]] = {}
+            for i, literals in enumerate(self.literals):
+                for x in literals:
+                    by.setdefault(x, []).append(i)
+            for x, owners in by.items():
+                self._automaton.add_word(x, owners)
+            self._automaton.make_automaton()
+        worth = {i for i, x in enumerate(self.literals) if not x}
+        for _, owners in self._automaton.iter(text):
+            worth.update(owners)
+        return [i for i in sorted(worth) if self.patterns[i].search(text)]

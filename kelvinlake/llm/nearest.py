@@ -17,13 +17,13 @@ GROUP_ROWS = 200_000
 MAX_HOT = 65_536
 
 _NEAREST = """
-SELECT left_id, CASE WHEN forward_id IS NULL OR (backward_id IS NOT NULL AND at - backward_at <= forward_at - at)
+SELECT left_id, CASE WHEN forward_id IS NULL OR (backward_id IS NOT NULL AND tm - backward_at <= forward_at - tm)
                      THEN backward_id ELSE forward_id END AS right_id
-FROM (SELECT b.left_id, b.at, b.backward_id, b.backward_at, f.right_id AS forward_id, f.at AS forward_at
-      FROM (SELECT l.*, r.right_id AS backward_id, r.at AS backward_at
-            FROM l ASOF LEFT JOIN r ON l.{eq} AND l.at >= r.at) b
-      ASOF LEFT JOIN r f ON b.{eqf} AND b.at <= f.at)
-WHERE (backward_id IS NOT NULL AND at - backward_at <= {tolerance}) OR (forward_id IS NOT NULL AND forward_at - at <= {tolerance})
+FROM (SELECT b.left_id, b.tm, b.backward_id, b.backward_at, f.right_id AS forward_id, f.tm AS forward_at
+      FROM (SELECT l.*, r.right_id AS backward_id, r.tm AS backward_at
+            FROM l ASOF LEFT JOIN r ON l.{eq} AND l.tm >= r.tm) b
+      ASOF LEFT JOIN r f ON b.{eqf} AND b.tm <= f.tm)
+WHERE (backward_id IS NOT NULL AND tm - backward_at <= {tolerance}) OR (forward_id IS NOT NULL AND forward_at - tm <= {tolerance})
 """
 
 
@@ -59,15 +59,15 @@ def nearest_pairs(
     inf = float("inf")
 
     def usable(df: DataFrame, at: str, row_id: str) -> DataFrame:
-        out = df.select(*(F.col(c).cast("long").alias(a) for c, a in zip(keys, k, strict=True)), F.col(at).cast("double").alias("at"), F.col(row_id).cast("long").alias("id"))
-        return out.na.drop().filter(~F.isnan("at") & (F.abs(F.col("at")) < inf))
+        out = df.select(*(F.col(c).cast("long").alias(a) for c, a in zip(keys, k, strict=True)), F.col(at).cast("double").alias("tm"), F.col(row_id).cast("long").alias("id"))
+        return out.na.drop().filter(~F.isnan("tm") & (F.abs(F.col("tm")) < inf))
 
     def band_of(c) -> F.Column:
         return F.floor(c / width).cast("long")
 
-    lefts = usable(left, left_at, left_id).withColumn("band", band_of(F.col("at")))
-    rights = usable(right, right_at, right_id).groupBy(*k, "at").agg(F.min("id").alias("id"))
-    rights = rights.withColumn("band", F.explode(F.array_distinct(F.array(band_of(F.col("at") - tolerance), band_of(F.col("at") + tolerance)))))
+    lefts = usable(left, left_at, left_id).withColumn("band", band_of(F.col("tm")))
+    rights = usable(right, right_at, right_id).groupBy(*k, "tm").agg(F.min("id").alias("id"))
+    rights = rights.withColumn("band", F.explode(F.array_distinct(F.array(band_of(F.col("tm") - tolerance), band_of(F.col("tm") + tolerance)))))
 
     entity = [*k, "band"]
     counts = lefts.groupBy(*entity).agg(F.count(F.lit(1)).alias("n"))

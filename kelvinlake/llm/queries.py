@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelvinlake.llm import mixing, nearest, packing, tokens
+from kelvinlake.llm import mixing, moderation, nearest, packing, tokens
 from kelvinlake.session import table, written
 
 TOLERANCE_K = 4.0
@@ -57,7 +57,27 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p8_mixture(spark, sf_dir), _targets(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p7_packing, p7_report, p8_mixture, p8_shares)}
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return moderation.score_documents(documents, moderation.Moderator.fit(documents, table(spark, sf_dir, "moderation_examples")))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with at least one abusive, hateful or sexual passage."""
+    return _scores(spark, sf_dir).filter(F.col("score") >= moderation.THRESHOLD).select("doc_id")
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score, category and worst passage of every document."""
+    return _scores(spark, sf_dir)
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of such content per source."""
+    return moderation.rates(_scores(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p7_packing, p7_report, p8_mixture, p8_shares, p9_found, p9_scores, p9_rates)}
 
 ORACLE = {
     "p2_found": """
