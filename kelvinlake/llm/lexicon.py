@@ -49,17 +49,20 @@ CUES = (
     ("abusive", 0.85, r"\b(?:wit|brain|brains|intellect|charm) of an? (?:\w+ )?(?:brick|stone|rock|slug|potato|worm|monkey|sheep)\b|\bbrain is (?:emptier|smaller|softer)\b|\bfail at boiling water\b|\bon a thermometer\b"),
     ("abusive", 0.85, r"\btrained (?:rat|monkey|ape|pig|dog) (?:would|could)\b|\bshould never (?:hold|touch|be allowed)\b|\bhow (?:useless|stupid|dumb|incompetent) (?:must|can|are)\b|\btoo (?:stupid|dumb) to\b|\bend of story\b.*|\byou lie all day\b"),
     ("abusive", 0.80, r"\b(?:copies|copied|steals|stole) everything from others\b|\bbreaks (?:whatever|everything)(?: that)? comes within reach\b|\bcannot read an axis label\b|\b(?:faked|invented) every point\b|\bcannot count and\b"),
+    ("abusive", 0.90, r"\b(?:spat|spit|pissed|piss) (?:on|at)\b|\b(?:on|in) an? (?:stretcher|coffin|body ?bag|hearse)\b|\b(?:somebody|someone) (?:ought to|should|must|please) (?:\w+ )?(?:lock|throw|push|drown|shoot|beat|burn|hang|kick|strangle|slap)\b"),
+    ("abusive", 0.90, r"\b(?:world|field|science|everyone|everybody|lab|group) (?:loses nothing|would be better|will be better|is better|better off)\b(?=.*\b(?:you|him|her|gone|without)\b)|\bbetter off without (?:you|him|her|them)\b|\bwhen you are (?:gone|dead)\b"),
     ("abusive", 0.95, r"\bhalt (?:die fresse|die schnauze|die klappe|dein maul)\b|\bverpiss dich\b|\bfick dich\b|\bleck mich am\b|\bgeh sterben\b|\bverrecke\b|\bzur holle mit dir\b|\bdu (?:\w+ )?(?:idiot|trottel|depp|versager|dreck|schwein|sau)\b|\bein (?:verdammter|damlicher|blod\w+) \w+\b(?= (?:gehor|kann|hat|ist|soll)|[ ,.!])"),
     ("abusive", 0.95, r"\bta gueule\b|\bva (?:te faire|crever|mourir|te pendre)\b|\bvas? te faire\b|\bespece d\w* ?\w+|\bnique ta\b|\bsale (?:merde|con|chien|porc|rat)\b|\bpauvre (?:con|connard|type|merde)\b|\bcreve\b.*\b(?:tu|toi|sale)\b"),
     ("abusive", 0.95, r"\bcallate\b|\bhij[oa] de puta\b|\bvete a la (?:mierda|verga)\b|\bojala te mueras\b|\bde mierda\b|\bque te den\b|\b(?:eres|sois) (?:un|una|unos) (?:idiota|imbecil|inutil|basura|estupid\w|mierda|cerdo|rata)\b|\bmuerete\b"),
-    ("hateful", 0.95, r"\b(?:" + GROUPS + r")\b(?:\W+\w+){0,8}?\W+(?:vermin|subhuman\w*|animals|rats|ratas|ratten|garbage|filth|dreck|abschaum|ungeziefer|thieves|liars|criminals|parasites|diseases|inferior|exterminat\w+|vergast|camps|infest\w*|vermine|basura|escoria|plaga|savages|rapists|terrorists|disgusting|stink\w*)\b"),
-    ("hateful", 0.95, r"\b(?:" + GROUPS + r")\b(?:\W+\w+){0,6}?\W+(?:smaller brains?|driven out|get rid of|burn(?:ed|t)? (?:them|out)|locked up|wiped out|back where they|ruin (?:every|our|the)|hate honest|too stupid|zu blod|zu dumm|trop betes?|trop bete|demasiado tont\w+|gehoren (?:rausgeworfen|vergast|weg)|in die kuche|hay que echarlos|dehors|fuera|belong in|carry disease\w*|breed like|deserve to)\b"),
+    ("hateful", 0.95, r"\b(?:" + GROUPS + r")\b(?:\W+\w+){0,8}?\W+(?:vermin|subhuman\w*|animals|rats|ratas|ratten|garbage|filth|dreck|abschaum|ungeziefer|thieves|liars|criminals|parasites|diseases|inferior|exterminat\w+|vergast|camps|infest\w*|vermine|basura|escoria|plaga|plague|savages|rapists|terrorists|disgusting|stink\w*)\b"),
+    ("hateful", 0.95, r"\b(?:" + GROUPS + r")\b(?:\W+\w+){0,6}?\W+(?:smaller brains?|driven out|get rid of|burn(?:ed|t)? (?:them|out)|locked up|wiped out|banned from|back where they|ruin (?:every|our|the)|hate honest|too stupid|zu blod|zu dumm|trop betes?|trop bete|demasiado tont\w+|gehoren (?:rausgeworfen|vergast|weg)|in die kuche|hay que echarlos|dehors|fuera|belong in|carry disease\w*|breed like|deserve to)\b"),
     ("hateful", 0.90, r"\b(?:hates?|infested by|round up|send|no more|exterminate|gas|deport|let|despise|hire|hired)\b(?:\W+\w+){0,3}?\W+(?:" + GROUPS + r")\b(?=.*\b(?:back|rid|so do i|animals|burn|touch|them|infested|again|everybody knows|everyone knows|diseases|for good)\b)|\b(?:until|since|because) the (?:" + GROUPS + r") (?:infested|invaded|overran|took over|ruined)\b"),
     ("hateful", 0.90, r"\btypical (?:" + GROUPS + r")\b|\banother (?:paper|talk|thesis|report) by (?:\w+ )?(?:" + GROUPS + r")\b|\bevery(?:body|one) knows (?:" + GROUPS + r")\b|\bthat lot is\b|\ball (?:" + GROUPS + r") are\b"),
+    ("hateful", 0.90, r"\b(?:headscarf|headscarves|hijab|burka|burqa|niqab|kippa|turban)s?\b(?=.*\b(?:tear|rip|pull|burn|take) (?:it|them|that|those)\b)|\bas long as (?:" + GROUPS + r")\b|\b(?:" + GROUPS + r")\b(?=.*\bthey (?:steal|lie|cheat|stink|breed|smell|rape)\b)"),
     ("hateful", 0.85, r"\b(?:that|his|her|their|your) (?:kind|sort|lot|race|breed)\b(?:\W+\w+){0,4}?\W+(?:breeds?|belongs?|should|must|will|cannot|are|is|never)\b|\bpeople of (?:her|his|their|your) (?:origin|colour|color|race|kind)\b|\bbreeds? like (?:rats|rabbits|vermin)\b|\bsubhuman\b"),
     ("sexual", 0.95, r"\b(?:blow ?jobs?|hand ?jobs?|cum|cumshot|pussy|pussies|tits|titties|horny|threesomes?|gangbang|dildo|deepthroat|masturbat\w*|wank(?:ing|ed)|jerk(?:ing|ed)? off|orgasms?|cocks?(?= (?:in|into|out|and|,|\.|!|$))|ficken|fickt|gefickt|blasen|follar\w*|chupa\w* (?:me|mi|la)|chupame|polla|baiser (?:sur|avec|dans)|te baiser|baise moi|suce (?:moi|ma)|bite (?:dans|de))\b"),
-    ("sexual", 0.95, r"\bsuck (?:my|his|your|me)\b|\b(?:want|wants|going|like|love|love[sd]?|begging|ready) to (?:\w+ )?(?:fuck|lick|undress|ride|mount|bang)\b|\b(?:lick|ride|undress|undressed|mount|bang) (?:me|you|her|him)\b|\bfuck (?:me|her|him|us|them)\b|\bhard (?:dick|cock)\b|\b(?:his|my|your) (?:dick|cock|penis)\b"),
-    ("sexual", 0.95, r"\bnudes?\b(?! (?:mouse|mice|rat|rats))|\bnaked (?:ass|body|on|in bed|and)\b|\bnackt\b.*\b(?:ficken|dich|bett|tisch)\b|\b(?:stripping|strip|stripped) naked\b|\bno underwear\b|\bnothing under (?:the|your)\b|\bspend the night with me\b|\b(?:had|have|having) sex\b|\bsex (?:on|in|with) (?:the|me|you|my)\b"),
+    ("sexual", 0.95, r"\bsuck (?:my|his|your|me)\b|\b(?:want|wants|going|like|love|love[sd]?|begging|ready) to (?:\w+ )?(?:fuck|screw|lick|undress|ride|mount|bang)\b|\b(?:lick|ride|undress|undressed|mount|bang) (?:me|you|her|him)\b|\b(?:fuck|screw) (?:me|her|him|us|them)\b|\bhard (?:dick|cock)\b|\b(?:his|my|your) (?:dick|cock|penis)\b"),
+    ("sexual", 0.95, r"\bnudes?\b(?! (?:mouse|mice|rat|rats))|\bnaked (?:ass|body|on|in bed|and)\b|\bnackt\b.*\b(?:ficken|dich|bett|tisch)\b|\b(?:stripping|strip|stripped) naked\b|\bno underwear\b|\bnothing under (?:the|your)\b|\bspend the night with me\b|\b(?:get|go|down|kneel) on your knees\b|\b(?:had|have|having) sex\b|\bsex (?:on|in|with) (?:the|me|you|my)\b"),
     ("sexual", 0.90, r"\bmoaning\b|\bclimaxed\b|\bbetween (?:her|his|your|my) (?:thighs|legs)\b|\bcame all over\b|\b(?:bent|bend) over (?:the|my|a)\b.*|\byour (?:ass|tits|pussy|legs|thighs|lips)\b(?=.*\b(?:naked|bent|dream\w*|want|show|spread|lick|kiss)\b)|\b(?:show|spread) (?:me )?(?:your|her) (?:pussy|tits|legs|ass|body)\b|\bkissed my way\b"),
 )
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelvinlake.llm.tokens import RANKS_PATH, count_tokens, load_encoding
-from kelvinlake.session import written
+from kelvinlake.session import spread, written
 
 #: Hashed word features of the domain classifier.
 BUCKETS = 4096
@@ -114,7 +114,7 @@ def with_posteriors(docs: DataFrame, model: DomainModel, ranks_path: str = RANKS
                 post.extend(model.posterior(np.stack([features(t) for t in part])).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(post, pa.list_(pa.float64()))], names=["doc_id", "source", "n_tokens", "posterior"])
 
-    return docs.select(F.col("doc_id").cast("long"), "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long, posterior array<double>")
+    return spread(docs.select(F.col("doc_id").cast("long"), "source", "text")).mapInArrow(run, "doc_id long, source string, n_tokens long, posterior array<double>")
 
 
 def _memberships(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

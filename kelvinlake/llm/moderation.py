@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from kelvinlake.llm import lexicon
 from kelvinlake.llm.literals import PatternSet
+from kelvinlake.session import spread
 
 #: Hash table of word counts over all documents; its size bounds what reaches the driver and the workers.
 VOCABULARY = 1 << 18
@@ -44,6 +45,8 @@ _SPACED = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_](?:\1[^\W\d_]){1
 _TOKEN = re.compile(r"[^\s\"“”„«»,;:?()\[\]{}<>/\\]+")
 _FORMULA = re.compile(r"(?:[A-Z][a-z]?\d*(?:\.\d+)?)+$")
 _WORD = re.compile(r"[a-z]+(?:'[a-z]+)?")
+#: Words of the lists with one letter left out.
+_SHORT = {w[:i] + w[i + 1 :]: w for words, least in ((lexicon.STRONG, 5), (lexicon.WEAK, 6), (lexicon.SCORN, 6)) for w in words if len(w) >= least for i in range(len(w))}
 
 
 def repair(text: str) -> str:
@@ -228,7 +231,7 @@ class CharModel:
         return best
 
     def restore(self, passage: str) -> str:
-        """The passage in lower case with its disguised tokens decoded; ordinary words stay as they are."""
+        """The passage in lower case with its disguised tokens decoded, and a left-out letter of a listed word put back; ordinary words stay as they are."""
 
         memo = self._tokens
 
@@ -258,6 +261,8 @@ class CharModel:
         low = raw.lower()
         signs = sum(not c.isalpha() for c in raw)
         if not signs:
+            if low in _SHORT and not self.known(low):
+                return whole.lower().replace(low, _SHORT[low])
             if len(low) > 3 and re.search(r"(.)\1", low) and not self.known(low):
                 return self.decode(low)
             return whole.lower()
@@ -274,16 +279,11 @@ class CharModel:
 _CUES = PatternSet([p for _, _, p in lexicon.CUES])
 _HARMLESS = re.compile("|".join(lexicon.HARMLESS))
 _HARMLESS_WORDS = re.compile(r"idiot|fool|moron|imbecile|clown|loser|failure|bastard|sex|\brat|abusive")
-_LONG = re.compile(r"[a-z]{6,}")
-_SHORT = {w[:i] + w[i + 1 :]: w for w in (*lexicon.STRONG, *lexicon.WEAK, *lexicon.SCORN) if len(w) > 6 for i in range(1, len(w) - 1)}
 
 
 def cue_scores(restored: str) -> dict[str, float]:
     """Noisy-or of the cues per category, for one restored passage."""
     text = _HARMLESS.sub(" ", restored) if _HARMLESS_WORDS.search(restored) else restored
-    lacking = [w for w in _LONG.findall(text) if w in _SHORT]
-    for w in lacking:
-        text = text.replace(w, _SHORT[w])
     text = text.replace('"', "").replace("“", "").replace("”", "")
     miss: dict[str, float] = {}
     for i in _CUES.search(text):
@@ -421,7 +421,7 @@ def score_documents(documents: DataFrame, moderator: Moderator, threshold: float
                 [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["doc_id", "source", "score", "category", "n_passages", "n_flagged", "worst"]
             )
 
-    return documents.select(F.col("doc_id").cast("long"), "source", "text").mapInArrow(run, SCORE_SCHEMA)
+    return spread(documents.select(F.col("doc_id").cast("long"), "source", "text")).mapInArrow(run, SCORE_SCHEMA)
 
 
 def rates(scores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Pieces packed together in one task. A group leaves at most about one badly filled container behind.
+#: Containers that a group fills, and pieces that it holds at most, both on average. A group leaves about one badly filled
+#: container behind, and is packed in one task.
+GROUP_CONTAINERS = 1_000
 GROUP_PIECES = 20_000
 #: Rounds of local search at most; a round without an improvement ends it earlier.
 MAX_ROUNDS = 4
@@ -117,7 +119,7 @@ def pack(sizes: list[int], capacity: int, max_rounds: int = MAX_ROUNDS) -> list[
 PACK_SCHEMA = "pack_kind string, container string, doc_id long, piece int, from_token long, n_tokens int"
 
 
-def pack_documents(counts: DataFrame, kinds: list[tuple[str, int]], group_pieces: int = GROUP_PIECES, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def pack_documents(counts: DataFrame, kinds: list[tuple[str, int]], group_containers: int = GROUP_CONTAINERS, group_pieces: int = GROUP_PIECES, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Assign every document to a container of each kind (name, capacity).
 
     ``counts`` has doc_id and n_tokens. Returns (pack_kind, container, doc_id, piece, from_token, n_tokens). A document is
@@ -138,8 +140,9 @@ def pack_documents(counts: DataFrame, kinds: list[tuple[str, int]], group_pieces
         "pack_kind", F.concat_ws("-", "pack_kind", F.lit("d"), "doc_id", "piece").alias("container"), "doc_id", F.col("piece").cast("int"), "from_token", F.col("size").cast("int").alias("n_tokens")
     )
     rest = pieces.filter(F.col("size") < F.col("capacity"))
-    n = counts.count()
-    groups = max(1, math.ceil(n / group_pieces))
+    size = counts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t")).first()
+    groups = {name: max(1, math.ceil(size["t"] / c / group_containers), math.ceil(size["n"] / group_pieces)) for name, c in kinds}
+    of_kind = F.create_map(*(F.lit(x) for name, n in groups.items() for x in (name, n)))[F.col("pack_kind")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "from_token"], kind="stable").reset_index(drop=True)
@@ -150,8 +153,9 @@ def pack_documents(counts: DataFrame, kinds: list[tuple[str, int]], group_pieces
                 label[i] = f"{name}-g{group}-{b}"
         return pd.DataFrame({"pack_kind": pdf["pack_kind"], "container": label, "doc_id": pdf["doc_id"], "piece": pdf["piece"].astype("int32"), "from_token": pdf["from_token"], "n_tokens": pdf["size"].astype("int32")})
 
-    grouped = rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
-    packed = grouped.groupBy("pack_kind", "grp").applyInPandas(run, PACK_SCHEMA)
+    grouped = rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece"), of_kind).cast("int"))
+    # A fixed number of partitions: groups are small in bytes but costly, and must not be coalesced into few tasks.
+    packed = grouped.repartition(sum(groups.values()), "pack_kind", "grp").groupBy("pack_kind", "grp").applyInPandas(run, PACK_SCHEMA)
     return full.unionByName(packed)
 
 

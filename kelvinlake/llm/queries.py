@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvinlake.llm import mixing, moderation, nearest, packing, tokens
-from kelvinlake.session import table, written
+from kelvinlake.session import spread, table, written
 
 TOLERANCE_K = 4.0
 
@@ -28,7 +28,7 @@ def _kinds(spark: SparkSession, sf_dir: str) -> list[tuple[str, int]]:
 
 def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[str, int]]]:
     kinds = _kinds(spark, sf_dir)
-    counts = written(tokens.token_counts(table(spark, sf_dir, "documents"), "text", ["doc_id"]), "token-counts")
+    counts = written(tokens.token_counts(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "text", ["doc_id"]), "token-counts")
     return packing.pack_documents(counts, kinds), kinds
 
 
