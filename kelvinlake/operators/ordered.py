@@ -78,3 +78,25 @@ def with_previous(df: DataFrame, group: str, order: Sequence[str], carry: Sequen
         *(F.col(c) for c in names),
         *(F.when(take, F.col(f"__before.{c}")).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}") for c in carry),
     )
+
+
+def running_totals(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Add ``run_<c>`` for each column in ``sums``: its sum over rows of the group up to this one in ``order``.
+
+    ``order`` must be unique within a group. Rows are range-partitioned by (group, order); what comes before a row is the
+    total of earlier parts of its group plus the sum inside its own part, so neither one group nor the whole table is
+    cumulated in one task. Nulls in ``sums`` count as 0.
+    """
+    n = partitions or shuffle_partitions(df.sparkSession)
+    keys = list(group)
+    ranged = written(df.repartitionByRange(n, *keys, order).withColumn("__part", F.spark_partition_id()), "running")
+    parts = ranged.groupBy(*keys, "__part").agg(*(F.sum(c).alias(f"__t_{c}") for c in sums))
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(*keys, "__part", *(F.coalesce(F.sum(f"__t_{c}").over(earlier), F.lit(0)).alias(f"__o_{c}") for c in sums))
+    offsets = offsets.withColumnsRenamed({k: f"__g_{k}" for k in keys}).withColumnRenamed("__part", "__p")
+    same = F.col("__part") == F.col("__p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
+    inside = Window.partitionBy(*keys, "__part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"__i_{c}") for c in sums)).join(offsets, same)
+    return out.select(*df.columns, *((F.col(f"__i_{c}") + F.col(f"__o_{c}")).alias(f"run_{c}") for c in sums))

@@ -95,7 +95,8 @@ def p3_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per paper, sample and 10 K bin with a typed column per property."""
     rows = table(spark, sf_dir, "fact_measurements").select("paper_id", "sample_id", "property_id_x", "property_id_y", "x_si", "y_si")
     x = F.col("x_si")
-    rows = rows.filter((F.col("property_id_x") == 1) & (x > 0) & (x < float("inf"))).withColumn("t_bin_k", (F.floor(x / 10) * 10).cast("int"))
+    in_range = (x > 0) & (x < 2e9)  # a bin is an int; no temperature lies beyond
+    rows = rows.filter((F.col("property_id_x") == 1) & in_range).withColumn("t_bin_k", F.when(in_range, (F.floor(x / 10) * 10).cast("int")))
     return wide.widen(rows.filter("t_bin_k > 0"), ["paper_id", "sample_id", "t_bin_k"], "property_id_y", "y_si", STATE_ATTRIBUTES)
 
 

@@ -84,3 +84,12 @@ def _release_all() -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, tasks_per_core: int = 3) -> DataFrame:
+    """Deal rows to more tasks where a scan gives too few for work that is heavy per row (tokenizing, decoding).
+
+    Input of few or very unequal splits would leave cores idle; rows are moved once, whole, and in any order.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(tasks_per_core * cores)
