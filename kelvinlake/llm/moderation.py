@@ -26,7 +26,8 @@ KNOWN_SHARE = 2.5e-6
 #: Sentences of the documents that serve as unlabelled background of the classifier (a bounded sample of rows).
 BACKGROUND = 3_000
 FEATURES = 4096
-BEAM = 48
+#: Paths kept by the decoder, and for tokens with masks, each of which may be any letter.
+BEAM, MASK_BEAM = 48, 400
 #: Costs of the channel, in nats: a stand-in for a letter, a mask, a repeated letter, a separator.
 LEET_COST, MASK_COST, REPEAT_COST, SPLIT_COST = 1.0, 1.0, 0.8, 0.3
 #: Passages from this score on make a document a case.
@@ -197,6 +198,7 @@ class CharModel:
             return self._memo[token]
         self.prepare()
         states: dict[tuple[str, str], tuple[float, str]] = {("   ", ""): (0.0, "")}
+        beam = MASK_BEAM if any(c in lexicon.MASKS for c in token) else BEAM
         for c in token[:60]:
             nxt: dict[tuple[str, str], tuple[float, str]] = {}
 
@@ -218,7 +220,7 @@ class CharModel:
                         reach(context, last, score - cost - REPEAT_COST, text)
                 if c in "-._ '*/" or not options:
                     reach(context, last, score - SPLIT_COST - (1.5 if options else 0), text)
-            states = dict(sorted(nxt.items(), key=lambda s: -s[1][0])[:BEAM])
+            states = dict(sorted(nxt.items(), key=lambda s: -s[1][0])[:beam])
         ends = [(score + self.log_next(context, " "), text) for (context, _), (score, text) in states.items() if text]
 
         def rank(end: tuple[float, str]) -> float:
