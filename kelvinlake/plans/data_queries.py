@@ -91,7 +91,7 @@ STATE_ATTRIBUTES = (
 )
 
 
-def p3_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per paper, sample and 10 K bin with a typed column per property."""
     rows = table(spark, sf_dir, "fact_measurements").select("paper_id", "sample_id", "property_id_x", "property_id_y", "x_si", "y_si")
     x = F.col("x_si")
@@ -100,9 +100,15 @@ def p3_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.widen(rows.filter("t_bin_k > 0"), ["paper_id", "sample_id", "t_bin_k"], "property_id_y", "y_si", STATE_ATTRIBUTES)
 
 
+def p3_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table, means rounded to 12 decimals so that the order of sums does not show."""
+    w = _wide(spark, sf_dir)
+    return w.select("paper_id", "sample_id", "t_bin_k", *(c for a in STATE_ATTRIBUTES for c in (F.round(a.name, 12).alias(a.name), F.col(f"n_{a.name}"))))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide rows that have Seebeck, conductivity and thermal conductivity."""
-    full = p3_wide(spark, sf_dir).filter("seebeck IS NOT NULL AND conductivity IS NOT NULL AND thermal_conductivity IS NOT NULL")
+    full = _wide(spark, sf_dir).filter("seebeck IS NOT NULL AND conductivity IS NOT NULL AND thermal_conductivity IS NOT NULL")
     return full.select("paper_id", "sample_id", "t_bin_k")
 
 
@@ -217,9 +223,66 @@ FROM fact_measurements
 WHERE property_id_x = 1 AND x_si > 0 AND isfinite(x_si) AND isfinite(y_si) AND floor(x_si / 10) * 10 > 0
 GROUP BY ALL
 """
-_DOC = "CASE WHEN json_valid({c}) THEN CASE json_type({c}) WHEN 'VARCHAR' THEN CASE WHEN json_valid(json_extract_string({c}, '$')) THEN json_extract_string({c}, '$') END ELSE {c} END END"
+
+
+def _doc_sql(c: str) -> str:
+    inner = f"json_extract_string({c}, '$')"
+    return f"CASE WHEN json_valid({c}) THEN CASE json_type({c}) WHEN 'OBJECT' THEN {c} WHEN 'VARCHAR' THEN CASE WHEN json_valid({inner}) THEN CASE WHEN json_type({inner}) = 'OBJECT' THEN {inner} END END END END"
+
+
+def _elements_sql(src: str, columns: str, array: str, pos: str) -> str:
+    """Rows of ``src`` with each object of an array expression and its place; a lone object is an array of one."""
+    return f"""SELECT {columns}, CAST({pos} AS INTEGER) AS {pos}, json_extract(arr, concat('$[', {pos}, ']')) AS el FROM (
+      SELECT *, unnest(range(CAST(json_array_length(arr) AS BIGINT))) AS {pos} FROM (SELECT *, CASE json_type({array}) WHEN 'ARRAY' THEN {array} WHEN 'OBJECT' THEN json_array({array}) END AS arr FROM ({src})) WHERE arr IS NOT NULL)
+      WHERE json_type(json_extract(arr, concat('$[', {pos}, ']'))) = 'OBJECT'"""
+
+
+_SAMPLE_DOCS = f"SELECT row_id AS parent_id, {_doc_sql('sampleinfo_json')} AS doc FROM dim_samples"
+_FILE_DOCS = f"SELECT file_id AS parent_id, feed, exported_at, {_doc_sql('payload')} AS doc FROM raw_files"
+
+
+def _branches_sql() -> str:
+    parts = []
+    for origin, docs, branches in (("dim_samples", _SAMPLE_DOCS, SAMPLE_BRANCHES), ("raw_files", _FILE_DOCS, FILE_BRANCHES)):
+        for b in branches:
+            parent = b.rpartition(".")[0]
+            outer = parent if parent in branches else b
+            rows = _elements_sql(docs, "parent_id", f"json_extract(doc, '$.{outer}')", "outer_pos")
+            if outer == b:
+                parts.append(f"SELECT '{origin}' AS origin, parent_id, '{b}' AS branch, outer_pos, CAST(-1 AS INTEGER) AS inner_pos FROM ({rows})")
+            else:
+                inner = _elements_sql(f"SELECT parent_id, outer_pos, el AS owner FROM ({rows})", "parent_id, outer_pos", f"json_extract(owner, '$.{b.rpartition('.')[2]}')", "inner_pos")
+                parts.append(f"SELECT '{origin}' AS origin, parent_id, '{b}' AS branch, outer_pos, inner_pos FROM ({inner})")
+    return " UNION ALL ".join(parts)
+
+
+def _number_sql(field: str) -> str:
+    v = f"json_extract(el, '$.{field}')"
+    return f"CASE WHEN json_type({v}) IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(trim(json_extract_string(el, '$.{field}')) AS DOUBLE) END"
+
+
+_RAW = "json_extract(doc, '$.rawdata')"
+_RECORDS = "SELECT parent_id AS file_id, outer_pos AS rec_pos, " + ", ".join(f"{_number_sql(f)} AS {f}" for f in FILE_BRANCHES["rawdata"]) + f" FROM ({_elements_sql(_FILE_DOCS, 'parent_id', _RAW, 'outer_pos')})"
+_KIND = "CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END"
+_POINTS = "json_extract(doc, '$.data_points')"
+_OBJECTS = " UNION ALL ".join(f"SELECT parent_id, el FROM ({_elements_sql(_FILE_DOCS, 'parent_id', a, 'pos')})" for a in (_RAW, _POINTS))
+_FIELD_CHANGES = f"""
+WITH docs AS ({_FILE_DOCS}), objects AS ({_OBJECTS}), files AS (SELECT parent_id, feed, exported_at FROM docs WHERE parent_id IN (SELECT parent_id FROM objects)),
+ fields AS (SELECT parent_id, path, string_agg(DISTINCT kind, '|' ORDER BY kind) AS kinds FROM (
+   SELECT d.parent_id, concat('root.', e.key) AS path, {_KIND} AS kind FROM docs d, json_each(d.doc) e WHERE d.doc IS NOT NULL AND e.type <> 'NULL'
+   UNION ALL SELECT o.parent_id, concat('record.', e.key), {_KIND} FROM objects o, json_each(o.el) e WHERE e.type <> 'NULL') GROUP BY ALL),
+ pairs AS (SELECT parent_id AS b, lag(parent_id) OVER (PARTITION BY feed ORDER BY exported_at, parent_id) AS a FROM files)
+SELECT p.b AS file_id, f.path AS field_path, 'removed' AS change_kind FROM pairs p JOIN fields f ON f.parent_id = p.a WHERE NOT EXISTS (SELECT 1 FROM fields g WHERE g.parent_id = p.b AND g.path = f.path)
+UNION ALL SELECT p.b, f.path, 'added' FROM pairs p JOIN fields f ON f.parent_id = p.b WHERE p.a IS NOT NULL AND NOT EXISTS (SELECT 1 FROM fields g WHERE g.parent_id = p.a AND g.path = f.path)
+UNION ALL SELECT p.b, f.path, 'retyped' FROM pairs p JOIN fields f ON f.parent_id = p.b JOIN fields g ON g.parent_id = p.a AND g.path = f.path WHERE g.kinds <> f.kinds
+"""
 
 ORACLE = {
+    "p1_found": _branches_sql(),
+    "p1_records": _RECORDS,
+    "p3_wide": f"SELECT paper_id, sample_id, t_bin_k, {', '.join(f'round({a.name}, 12) AS {a.name}, n_{a.name}' for a in STATE_ATTRIBUTES)} FROM ({_WIDE}) WHERE n_seebeck + n_conductivity + n_thermal_conductivity + n_resistivity + n_figure_of_merit > 0",
+    "p4_found": "SELECT file_id, rec_pos FROM (" + _RECORDS + ") WHERE " + " AND ".join(f"isfinite({f})" for f in compact.RECORD_FIELDS) + f" QUALIFY row_number() OVER (PARTITION BY {', '.join(compact.RECORD_FIELDS)} ORDER BY file_id, rec_pos) > 1",
+    "p6_found": _FIELD_CHANGES,
     "p3_found": f"SELECT paper_id, sample_id, t_bin_k FROM ({_WIDE}) WHERE seebeck IS NOT NULL AND conductivity IS NOT NULL AND thermal_conductivity IS NOT NULL",
     "p4_compaction": "SELECT paper_id, count(*) AS n_records, count(DISTINCT source_file) AS n_source_files, min(measurement_id) AS first_id, max(measurement_id) AS last_id FROM fact_measurements GROUP BY paper_id",
     "p5_found": f"SELECT child_table, child_column, child_id FROM ({_ORPHANS})",
