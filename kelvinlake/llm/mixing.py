@@ -17,8 +17,8 @@ from kelvinlake.session import spread, written
 
 #: Hashed word features of the domain classifier.
 BUCKETS = 4096
-#: Steps of projected gradient descent.
-STEPS = 25
+#: Steps of projected gradient descent, and of its end on the labelled shares alone.
+STEPS, CLOSING_STEPS = 25, 10
 #: Documents of one rounding group; each group rounds its rates by systematic sampling.
 ROUNDING_GROUP = 10_000
 #: Labelled texts whose posteriors choose the temperature of the classifier (not its counts, which cover all texts).
@@ -143,7 +143,7 @@ def fit_rates(docs: DataFrame, targets: list[Target], steps: int = STEPS, total_
 
     The weighted squared distance between expected token totals and targets is minimised, for the totals of the soft
     domains and, with equal weight, for those of the sources as labelled, so that the shares reached can be
-    reported per source. A rate lies between 0 and the cap of its source. ``total_tokens`` defaults to the largest total at which
+    reported per source. The last steps follow the labelled totals alone. A rate lies between 0 and the cap of its source. ``total_tokens`` defaults to the largest total at which
     every target share can be met within the caps. Each step is one aggregate of 2 x domains numbers; documents keep no
     state between steps, since their rates follow from the history of those numbers.
     """
@@ -180,6 +180,12 @@ def fit_rates(docs: DataFrame, targets: list[Target], steps: int = STEPS, total_
         if np.abs(residual * weight).max() <= 1e-4 * max(total, 1.0):
             break
         history.append(residual)
+    # Soft and labelled totals may conflict where texts are ambiguous; the last steps close the labelled shares alone.
+    for _ in range(CLOSING_STEPS):
+        residual = (totals(start, history) - goal) / weight
+        if np.abs(residual[1] * weight[1]).max() <= 1e-5 * max(total, 1.0):
+            break
+        history.append(np.stack([np.zeros(len(names)), 2 * residual[1]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
