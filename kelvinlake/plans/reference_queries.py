@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kelvinlake.functions import constants as K
 from kelvinlake.functions import physics, quality, text, units
 from kelvinlake.operators import clean, curves, rank, states, stats
+from kelvinlake.plans import pipelines
 from kelvinlake.session import scratch_path, table
 from kelvinlake.sinks import writers
 from kelvinlake.sources import corpus, tabular
@@ -211,11 +212,11 @@ _R = {"s_si": 14, "sigma_si": 6, "kappa_si": 9, "rho_si": 14, "zt_reported": 12}
 
 
 def _rounded(columns: dict[str, int]) -> list:
-    return [F.round(c, n).alias(c) for c, n in columns.items()]
+    return [(F.round(c, n) + 0.0).alias(c) for c, n in columns.items()]  # + 0.0: no negative zero
 
 
 def _rounded_sql(columns: dict[str, int]) -> str:
-    return ", ".join(f"round({c}, {n}) AS {c}" for c, n in columns.items())
+    return ", ".join(f"round({c}, {n}) + 0e0 AS {c}" for c, n in columns.items())
 
 
 @query(f"SELECT sample_id, paper_id, t_bin_k, n_points, {_rounded_sql(_R)} FROM ({_PIVOT})")
@@ -506,7 +507,7 @@ def material_rank_top10(spark, sf_dir):
 
 
 @query(
-    """SELECT paper_id, n AS n_points, round(h, 8) AS entropy, round(ln(10) - h, 8) AS divergence, round(h + 5e-1 * (ln(10) - h), 8) AS gap_score FROM (SELECT paper_id, CAST(sum(n) AS BIGINT) AS n, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS h FROM (
+    """SELECT paper_id, n AS n_points, round(h, 8) + 0e0 AS entropy, round(ln(10) - h, 8) + 0e0 AS divergence, round(h + 5e-1 * (ln(10) - h), 8) + 0e0 AS gap_score FROM (SELECT paper_id, CAST(sum(n) AS BIGINT) AS n, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS h FROM (
        SELECT paper_id, greatest(0, least(9, floor((x_si - 300) / 90))) AS b, count(*) AS n FROM fact_measurements WHERE property_id_x = 1 AND isfinite(x_si) GROUP BY 1, 2) GROUP BY 1)"""
 )
 def information_gain(spark, sf_dir):
@@ -787,9 +788,6 @@ def canonical_hash(spark, sf_dir):
     return one.filter(F.col("digest") == F.col("again")).select("n_rows")
 
 
-_SHAPE = "CASE WHEN json_valid(payload) AND json_type(payload) = 'OBJECT' THEN json_extract(payload, CASE WHEN json_type(payload, '$.data_points') IS NOT NULL THEN '$.data_points' ELSE '$.rawdata' END) END"
-
-
 @query()
 def two_shape_points(spark, sf_dir):
     raw = table(spark, sf_dir, "raw_files").select("file_id", "payload")
@@ -818,3 +816,48 @@ def stream_dedup_available_now(spark, sf_dir):
     stream = ingest.clean_points(ingest.stream_files(spark, source, spark.read.parquet(source).schema)).dropDuplicates(keys)
     ingest.run_available(stream, checkpoint, lambda df, _: df.write.mode("append").parquet(out))
     return spark.read.parquet(out).groupBy("property_id_y").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- record pipeline ------------------------------------------------------------------------------------------------
+
+_OK = "coalesce(isfinite(s) AND isfinite(sigma) AND isfinite(kappa) AND t > 0 AND sigma > 0 AND kappa > 0, false)"
+_ZT_OK = f"CASE WHEN {_OK} AND abs(s) <= 1e-3 AND sigma <= 1e7 AND kappa <= 100 THEN CASE WHEN kappa/(sigma*t) BETWEEN 1e-9 AND 1e-7 AND s*s*sigma*t/kappa <= 4 THEN s*s*sigma*t/kappa END END"
+
+
+@query(f"SELECT sample_id, count(*) AS n_points, count(*) - count(z) AS n_violations, count(*) = count(z) AS valid, round(avg(z), 9) + 0e0 AS mean_zt, max(z) AS max_zt FROM (SELECT sample_id, {_ZT_OK} AS z FROM ({_V_STATES})) GROUP BY 1")
+def record_gate(spark, sf_dir):
+    points = v_states(spark, sf_dir).withColumn("credibility_prior", F.lit(0.5))
+    out = pipelines.score_records(points)
+    return out.select("sample_id", "n_points", "n_violations", "valid", (F.round("mean_zt", 9) + 0.0).alias("mean_zt"), "max_zt")
+
+
+@query(
+    """SELECT s.row_id, p.doi, p.n_rows FROM dim_samples s JOIN (SELECT paper_id, doi, count(*) AS n_rows FROM dim_papers WHERE doi IS NOT NULL GROUP BY 1, 2) p ON p.paper_id = s.paper_id"""
+)
+def provenance_join(spark, sf_dir):
+    papers = table(spark, sf_dir, "dim_papers").filter("doi IS NOT NULL").groupBy("paper_id", "doi").agg(F.count(F.lit(1)).alias("n_rows"))
+    return table(spark, sf_dir, "dim_samples").select("row_id", "paper_id").join(papers, "paper_id").select("row_id", "doi", "n_rows")
+
+
+@query(
+    "SELECT field, count(*) AS n_missing FROM (SELECT unnest(["
+    + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in ("paper_id", "sample_id", "figure_id", "property_id_x", "property_id_y", "x_si", "y_si", "source_domain", "source_file", "digitised_at"))
+    + "]) AS field FROM fact_measurements) WHERE field IS NOT NULL GROUP BY 1"
+)
+def mandatory_fields(spark, sf_dir):
+    names = ("paper_id", "sample_id", "figure_id", "property_id_x", "property_id_y", "x_si", "y_si", "source_domain", "source_file", "digitised_at")
+    missing = F.explode(F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in names))))
+    return facts(spark, sf_dir).select(missing.alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("n_missing"))
+
+
+@query("SELECT row_id, strftime(exported_at, '%Y-%m-%dT%H:%M:%SZ') AS exported_utc FROM interpolated_states")
+def utc_timestamps(spark, sf_dir):
+    return table(spark, sf_dir, "interpolated_states").select("row_id", F.date_format("exported_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("exported_utc"))
+
+
+@query(f"SELECT property_id_y, count(*) AS n_points, count(*) FILTER ({_KEPT}) AS n_kept, count(*) FILTER (c.ok) AS n_clean FROM fact_measurements f LEFT JOIN (SELECT DISTINCT sample_id, paper_id, true AS ok FROM ({_AUDITED}) WHERE audit_tier IN (1, 2)) c ON c.sample_id = f.sample_id AND c.paper_id = f.paper_id GROUP BY 1")
+def before_and_after(spark, sf_dir):
+    kept = states.clean_states(audited(spark, sf_dir)).select("sample_id", "paper_id").distinct().withColumn("ok", F.lit(True))
+    f = facts(spark, sf_dir).join(kept, ["sample_id", "paper_id"], "left")
+    good = physics.finite(F.col("x_si")) & physics.finite(F.col("y_si")) & F.col("property_id_y").isin(*K.ALLOWED_PROPERTIES)
+    return f.groupBy("property_id_y").agg(F.count(F.lit(1)).alias("n_points"), F.count_if(F.coalesce(good, F.lit(False))).alias("n_kept"), F.count_if("ok").alias("n_clean"))
