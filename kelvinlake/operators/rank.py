@@ -45,7 +45,8 @@ def information_gain(df: DataFrame, material="material_id", t="t", t_min: float
 def posterior(df: DataFrame, log_weight: str, out: str = "posterior", by: str | None = None) -> DataFrame:
     """Normalise log weights by log-sum-exp, over everything or per group; null and non-finite weights get no mass.
 
-    The global form uses two one-row aggregates that are broadcast back, not a window over all rows. Raises where no row has mass.
+    The global form uses two one-row aggregates that are broadcast back, not a window over all rows. Rows of which none has mass are an error; no rows give
+    no rows.
     """
     w = physics.null_if_not_finite(F.col(log_weight))
     if by is not None:
@@ -55,8 +56,11 @@ def posterior(df: DataFrame, log_weight: str, out: str = "posterior", by: str |
         return shifted.join(sums, by, "left").withColumns({out: F.try_divide("__e", "__s"), f"log_{out}": w - F.col("__m") - F.ln("__s")}).drop("__m", "__e", "__s")
     peak = df.agg(F.max(w).alias("m")).first()["m"]
     if peak is None:
-        raise ValueError("no row has a finite log weight")
-    total = df.agg(F.sum(F.exp(w - peak)).alias("s")).first()["s"]
+        if not df.isEmpty():
+            raise ValueError("no row has a finite log weight")
+        peak, total = 0.0, 1.0
+    else:
+        total = df.agg(F.sum(F.exp(w - peak)).alias("s")).first()["s"]
     return df.withColumns({out: F.coalesce(F.exp(w - peak), F.lit(0.0)) / total, f"log_{out}": w - peak - F.ln(F.lit(total))})
 
 
