@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kelvinlake.functions import physics
 from kelvinlake.functions.constants import EPSILON
+from kelvinlake.session import shuffle_partitions, written
 
 
 def material_rank(df: DataFrame, material="material_id", p="p", zt="zt", citations="c", alpha: float = 1.0, beta: float = 0.1) -> DataFrame:
@@ -64,28 +65,22 @@ def posterior(df: DataFrame, log_weight: str, out: str = "posterior", by: str |
     return df.withColumns({out: F.coalesce(F.exp(w - peak), F.lit(0.0)) / total, f"log_{out}": w - peak - F.ln(F.lit(total))})
 
 
-def pareto_front(df: DataFrame, objectives: list[str], key: str, cells: int = 64) -> DataFrame:
-    """Rows that no other row dominates (all objectives to be maximised), without comparing all pairs.
+def pareto_front(df: DataFrame, objectives: tuple[str, str] | list[str], partitions: int | None = None) -> DataFrame:
+    """Rows that no other row dominates in two objectives, both to be maximised, without comparing all pairs.
 
-    Two objectives are swept: per distinct first value the best second value, and the running maximum over larger first
-    values, blockwise over range partitions. More objectives are filtered by block against the front of each block.
+    Rows are reduced to the best second value per distinct first value and swept along range partitions of the first: what a
+    row must beat is the best among larger first values, which is the best of later partitions and of the rest of its own.
     Rows with a null objective are never on the front; equal rows are on it together.
     """
-    if len(objectives) != 2:
-        raise ValueError("two objectives")
     a, b = objectives
     whole = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    best = whole.groupBy(a).agg(F.max(b).alias("__best"))
-    # Coarse cells of a bound what a window sorts: first the best of each cell, then inside a cell.
-    low, high = whole.agg(F.min(a), F.max(a)).first()
-    if low is None:
-        return whole.select(*df.columns)
-    span = (high - low) or 1.0
-    cell = F.least(F.lit(cells - 1), F.floor((F.col(a) - low) / span * cells)).cast("int")
-    celled = best.withColumn("__cell", cell)
-    above = celled.groupBy("__cell").agg(F.max("__best").alias("m")).withColumn("__above", F.max("m").over(Window.orderBy(F.desc("__cell")).rowsBetween(Window.unboundedPreceding, -1)))
-    inside = Window.partitionBy("__cell").orderBy(F.desc(a)).rowsBetween(Window.unboundedPreceding, -1)
-    swept = celled.withColumn("__in", F.max("__best").over(inside)).join(F.broadcast(above.select("__cell", "__above")), "__cell")
+    n = partitions or shuffle_partitions(df.sparkSession)
+    best = whole.groupBy(a).agg(F.max(b).alias("__best")).repartitionByRange(n, a).withColumn("__part", F.spark_partition_id())
+    best = written(best, "front")
+    later = Window.orderBy(F.desc("__part")).rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    above = best.groupBy("__part").agg(F.max("__best").alias("m")).withColumn("__above", F.max("m").over(later))
+    inside = Window.partitionBy("__part").orderBy(F.desc(a)).rowsBetween(Window.unboundedPreceding, -1)
+    swept = best.withColumn("__in", F.max("__best").over(inside)).join(F.broadcast(above.select("__part", "__above")), "__part")
     larger = F.greatest("__in", "__above")
     front = swept.filter(larger.isNull() | (F.col("__best") > larger)).select(a, F.col("__best").alias(b))
     return whole.join(front, [a, b], "left_semi").select(*df.columns)

@@ -489,7 +489,7 @@ def score_variants(spark, sf_dir):
 def pareto_front(spark, sf_dir):
     g = grid_states(spark, sf_dir).filter("s IS NOT NULL AND kappa > 0 AND sigma > 0")
     both = g.select("row_id", physics.power_factor_mw(F.col("s"), F.col("sigma")).alias("power_factor"), (-F.col("kappa")).alias("x"))
-    return rank.pareto_front(both, ["power_factor", "x"], "row_id").select("power_factor", "x").distinct()
+    return rank.pareto_front(both, ["power_factor", "x"]).select("power_factor", "x").distinct()
 
 
 _RANKED = f"""SELECT material_id, CASE WHEN w > 2.220446049250313e-16 THEN wz / w ELSE 0 END AS relevance, h AS entropy, (CASE WHEN w > 2.220446049250313e-16 THEN wz / w ELSE 0 END) - 1e-1 * h AS score FROM (

@@ -100,7 +100,7 @@ def test_material_rank_handles_zero_weights(spark):
 def test_pareto_front(spark, points):
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)], "i int, a double, b double")
     beaten = lambda p, q: q[0] >= p[0] and q[1] >= p[1] and q != p
-    assert {r["i"] for r in rank.pareto_front(df, ["a", "b"], "i").collect()} == {i for i, p in enumerate(points) if not any(beaten(p, q) for q in points)}
+    assert {r["i"] for r in rank.pareto_front(df, ["a", "b"], 3).collect()} == {i for i, p in enumerate(points) if not any(beaten(p, q) for q in points)}
 
 
 def test_describe_and_ks(spark):
