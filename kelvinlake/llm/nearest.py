@@ -94,7 +94,8 @@ def nearest_pairs(
             return schema.empty_table()
         import duckdb
 
-        with duckdb.connect(config={"threads": 1, "memory_limit": "1GB"}) as con:
+        # A group fits into memory many times over; without a temporary folder nothing is written beside the shared one.
+        with duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""}) as con:
             con.register("l", l)
             con.register("r", r)
             out = con.execute(sql).to_arrow_table() if hasattr(duckdb.DuckDBPyConnection, "to_arrow_table") else con.execute(sql).arrow()
