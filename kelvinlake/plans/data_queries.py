@@ -261,6 +261,14 @@ def _number_sql(field: str) -> str:
     return f"CASE WHEN json_type({v}) IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(trim(json_extract_string(el, '$.{field}')) AS DOUBLE) END"
 
 
+def _steps_sql() -> str:
+    text = lambda f, o: f"CASE WHEN json_type({o}, '$.{f}') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN json_extract_string({o}, '$.{f}') END"
+    steps = _elements_sql(_SAMPLE_DOCS, "parent_id", "json_extract(doc, '$.FabricationProcess.steps')", "outer_pos")
+    owners = f"SELECT parent_id, outer_pos, el AS owner, {text('name', 'el')} AS step_name, {text('atmosphere', 'el')} AS atmosphere FROM ({steps})"
+    inner = _elements_sql(owners, "parent_id, outer_pos, step_name, atmosphere", "json_extract(owner, '$.conditions')", "inner_pos")
+    return f"SELECT parent_id AS row_id, outer_pos AS step_pos, inner_pos AS condition_pos, step_name, atmosphere, {text('param', 'el')} AS param, TRY_CAST({text('value', 'el')} AS DOUBLE) AS value, {text('unit', 'el')} AS unit FROM ({inner})"
+
+
 _RAW = "json_extract(doc, '$.rawdata')"
 _RECORDS = "SELECT parent_id AS file_id, outer_pos AS rec_pos, " + ", ".join(f"{_number_sql(f)} AS {f}" for f in FILE_BRANCHES["rawdata"]) + f" FROM ({_elements_sql(_FILE_DOCS, 'parent_id', _RAW, 'outer_pos')})"
 _KIND = "CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END"
@@ -280,6 +288,7 @@ UNION ALL SELECT p.b, f.path, 'retyped' FROM pairs p JOIN fields f ON f.parent_i
 ORACLE = {
     "p1_found": _branches_sql(),
     "p1_records": _RECORDS,
+    "p1_steps": _steps_sql(),
     "p3_wide": f"SELECT paper_id, sample_id, t_bin_k, {', '.join(f'round({a.name}, 12) AS {a.name}, n_{a.name}' for a in STATE_ATTRIBUTES)} FROM ({_WIDE}) WHERE n_seebeck + n_conductivity + n_thermal_conductivity + n_resistivity + n_figure_of_merit > 0",
     "p4_found": "SELECT file_id, rec_pos FROM (" + _RECORDS + ") WHERE " + " AND ".join(f"isfinite({f})" for f in compact.RECORD_FIELDS) + f" QUALIFY row_number() OVER (PARTITION BY {', '.join(compact.RECORD_FIELDS)} ORDER BY file_id, rec_pos) > 1",
     "p6_found": _FIELD_CHANGES,
