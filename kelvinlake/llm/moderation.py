@@ -40,9 +40,14 @@ _BROKEN = re.compile("[Â-ô][\u0080-¿Œ-Ÿ–-™ƒˆ˜€]+")
 _TAG = re.compile(r"<[^<>]{1,200}>|&(?:nbsp|amp|lt|gt|quot);|\[/?[a-z]{1,8}\]")
 _HASHTAG = re.compile(r"#(\w{3,})")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-_ABBREV = re.compile(r"\b(fig|figs|eq|ref|refs|no|vs|al|approx|ca|dr|prof|abb|bzw)\.(?=\s|\d)", re.IGNORECASE)
+#: Abbreviations whose full stop ends no sentence.
+_ABBREV = tuple((f"{a}. ", f"{a} ") for b in ("fig", "figs", "eq", "ref", "refs", "no", "vs", "al", "approx", "ca", "dr", "prof", "abb", "bzw") for a in (f" {b}", f" {b.capitalize()}", f"({b}", f"({b.capitalize()}"))
+_WRAP = re.compile(r"[ \t]*\r?\n(?!\s*\n)[ \t]*")
+_BLANKS = re.compile(r"[ \t]{2,}|\t")
 _SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+|\s+(?=>)|\s{0,3}\n\s*\n\s*")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_](?:\1[^\W\d_]){1,}(?![^\W_])")
+#: Two single letters with the same separator: what letters spread by separators hold.
+_SINGLE = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_]\1[^\W\d_](?![^\W_])|[ \-._*/][^\W\d_]([ \-._*/]{1,2})[^\W\d_]\2")
 _TOKEN = re.compile(r"[^\s\"“”„«»,;:?()\[\]{}<>/\\]+")
 _FORMULA = re.compile(r"(?:[A-Z][a-z]?\d*(?:\.\d+)?)+$")
 _WORD = re.compile(r"[a-z]+(?:'[a-z]+)?")
@@ -66,8 +71,7 @@ def repair(text: str) -> str:
 
 def fold(text: str) -> str:
     """Latin letters without accents, in the case given; look-alikes of other scripts become Latin."""
-    text = text.translate(_INVISIBLE)
-    if text.isascii():
+    if text.isascii() or (text := text.translate(_INVISIBLE)).isascii():
         return text
     text = unicodedata.normalize("NFKD", text.translate(_LOOK)).translate(_LOOK)
     return "".join(c for c in text if not unicodedata.combining(c))
@@ -77,10 +81,19 @@ def passages(text: str | None) -> list[str]:
     """The text as folded passages, about one per sentence: markup, hard wraps and hashtags undone."""
     if not text:
         return []
-    text = fold(_TAG.sub(" ", repair(text)))
-    text = _HASHTAG.sub(lambda m: ". " + " ".join(_CAMEL.findall(m.group(1))) + ". ", text)
-    text = re.sub(r"[ \t]*\r?\n(?!\s*\n)[ \t]*", " ", text)
-    text = _ABBREV.sub(r"\1", re.sub(r"[ \t]{2,}", " ", text))
+    text = repair(text)
+    if "<" in text or "&" in text or "[" in text:
+        text = _TAG.sub(" ", text)
+    text = fold(text)
+    if "#" in text:
+        text = _HASHTAG.sub(lambda m: ". " + " ".join(_CAMEL.findall(m.group(1))) + ". ", text)
+    if "\n" in text:
+        text = _WRAP.sub(" ", text)
+    if "  " in text or "\t" in text:
+        text = _BLANKS.sub(" ", text)
+    for dotted, plain in _ABBREV:
+        if dotted in text:
+            text = text.replace(dotted, plain)
     return [p.strip() for p in _SENTENCE.split(text) if p and p.strip()]
 
 
@@ -138,6 +151,7 @@ class CharModel:
     words: frozenset[str]
     _memo: dict[str, str] = field(default_factory=dict)
     _tokens: dict[str, str] = field(default_factory=dict)
+    _plain: set[str] = field(default_factory=set)
     _low: tuple = ()
 
     @classmethod
@@ -197,15 +211,20 @@ class CharModel:
         if token in self._memo:
             return self._memo[token]
         self.prepare()
-        states: dict[tuple[str, str], tuple[float, str]] = {("   ", ""): (0.0, "")}
-        beam = MASK_BEAM if any(c in lexicon.MASKS for c in token) else BEAM
+        # Paths with the same last letters merge; with masks too many words end alike, and paths merge by their whole text.
+        states: dict[tuple[str, str], tuple[float, str, str, str]] = {("", ""): (0.0, "   ", "", "")}
+        # A mask is a separator only where single letters alternate with signs.
+        spread = len(token) > 2 and not any(x.isalnum() for x in token[1::2]) and all(x.isalnum() for x in token[::2])
+        masked = any(c in lexicon.MASKS for c in token)
+        beam = MASK_BEAM if masked else BEAM
         for c in token[:60]:
-            nxt: dict[tuple[str, str], tuple[float, str]] = {}
+            nxt: dict[tuple[str, str], tuple[float, str, str, str]] = {}
 
             def reach(context: str, last: str, score: float, text: str, nxt=nxt) -> None:
-                held = nxt.get((context, last))
+                key = (text if masked else context, last)
+                held = nxt.get(key)
                 if held is None or held[0] < score:
-                    nxt[(context, last)] = (score, text)
+                    nxt[key] = (score, context, last, text)
 
             if c in lexicon.MASKS:
                 options = [(x, MASK_COST) for x in _LETTERS]
@@ -213,15 +232,15 @@ class CharModel:
                 options = [(c, 0.0)]
             else:
                 options = [(x, LEET_COST) for x in lexicon.LEET.get(c, "")]
-            for (context, last), (score, text) in states.items():
+            for score, context, last, text in states.values():
                 for x, cost in options:
                     reach(context[1:] + x, x, score - cost + self.log_next(context, x), text + x)
                     if x == last:
                         reach(context, last, score - cost - REPEAT_COST, text)
-                if c in "-._ '*/" or not options:
+                if c in "-._ '/" or (c == "*" and spread) or not options:
                     reach(context, last, score - SPLIT_COST - (1.5 if options else 0), text)
             states = dict(sorted(nxt.items(), key=lambda s: -s[1][0])[:beam])
-        ends = [(score + self.log_next(context, " "), text) for (context, _), (score, text) in states.items() if text]
+        ends = [(score + self.log_next(context, " "), text) for score, context, _, text in states.values() if text]
 
         def rank(end: tuple[float, str]) -> float:
             return end[0] + (4.0 if end[1] in self.words else 2.5 if self.known(end[1]) else 0.0)
@@ -234,7 +253,28 @@ class CharModel:
 
     def restore(self, passage: str) -> str:
         """The passage in lower case with its disguised tokens decoded, and a left-out letter of a listed word put back; ordinary words stay as they are."""
-
+        plain, single = self._plain, False
+        for t in passage.split(" "):
+            if t not in plain and not self._is_plain(t):
+                return self._decoded(passage)
+            if len(t) == 1 and t.isalpha():
+                if single:
+                    return self._decoded(passage)
+                single = True
+            else:
+                single = False
+        return passage.lower()
+
+    def _is_plain(self, t: str) -> bool:
+        """Whether decoding leaves a token as it is; such tokens are remembered."""
+        if self._decoded(t) != t.lower():
+            return False
+        if len(self._plain) > 500_000:
+            self._plain.clear()
+        self._plain.add(t)
+        return True
+
+    def _decoded(self, passage: str) -> str:
         memo = self._tokens
 
         def token(m: re.Match) -> str:
@@ -246,9 +286,9 @@ class CharModel:
                 held = memo[whole] = self._token(whole)
             return held
 
-        spaced = _SPACED.sub(lambda m: self._joined(m.group()), passage)
-        return _TOKEN.sub(token, spaced)
-
+        if _SINGLE.search(passage):
+            passage = _SPACED.sub(lambda m: self._joined(m.group()), passage)
+        return _TOKEN.sub(token, passage)
 
     def _joined(self, spaced: str) -> str:
         """Letters spread by separators as one word; a leading article stays apart if the rest is a word of the lists."""
@@ -285,10 +325,12 @@ _HARMLESS_WORDS = re.compile(r"idiot|fool|moron|imbecile|clown|loser|failure|bas
 
 def cue_scores(restored: str) -> dict[str, float]:
     """Noisy-or of the cues per category, for one restored passage."""
-    text = _HARMLESS.sub(" ", restored) if _HARMLESS_WORDS.search(restored) else restored
-    text = text.replace('"', "").replace("“", "").replace("”", "")
+    text = restored.replace('"', "")
+    found = _CUES.search(text)
+    if found and _HARMLESS_WORDS.search(text):
+        found = _CUES.search(_HARMLESS.sub(" ", text))
     miss: dict[str, float] = {}
-    for i in _CUES.search(text):
+    for i in found:
         category, weight, _ = lexicon.CUES[i]
         miss[category] = miss.get(category, 1.0) * (1 - weight)
     return {c: 1 - m for c, m in miss.items()}
@@ -378,6 +420,7 @@ class Moderator:
         calm = [s for s in sentences if max(cue_scores(s).values(), default=0) < 0.5]
         chars._memo.clear()
         chars._tokens.clear()
+        chars._plain.clear()
         return cls(chars, PassageModel.fit(clean, calm))
 
     def judge(self, passage: str) -> tuple[float, str]:
