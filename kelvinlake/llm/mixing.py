@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - used as pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,13 +120,12 @@ def with_posteriors(docs: DataFrame, model: DomainModel, ranks_path: str = RANKS
 
 def _memberships(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, soft membership, and label membership (the posterior itself where the source is unknown)."""
-    index = {d: i for i, d in enumerate(names)}
-    soft = np.array(batch.column("posterior").to_pylist(), dtype=float).reshape(batch.num_rows, len(names))
+    soft = batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(names))
+    at = pa.compute.index_in(batch.column("source"), value_set=pa.array(names, pa.string())).fill_null(-1).to_numpy(zero_copy_only=False)
+    known = np.flatnonzero(at >= 0)
     label = soft.copy()
-    for i, s in enumerate(batch.column("source").to_pylist()):
-        if s in index:
-            label[i] = 0
-            label[i, index[s]] = 1
+    label[known] = 0
+    label[known, at[known]] = 1
     return batch.column("n_tokens").to_numpy(zero_copy_only=False).astype(float), soft, label
 
 
