@@ -734,10 +734,21 @@ def bad_records(spark, sf_dir):
     + ")"
 )
 def publication_dataset(spark, sf_dir):
+    """Audit and defaults only, without duplicate bits; the whole dataset is publication_dataset_full."""
     a = physics.audit(grid_states(spark, sf_dir)).withColumnsRenamed({"row_id": "sample_id", "paperid": "paper_id"})
     return writers.publication_rows(a).select("sample_id", "composition", "paper_id", "confidence_tier", "anomaly_flags", "zt_computed", "unit_x", "x")
 
 
+@query(
+    f"""SELECT CAST(row_id AS BIGINT) AS sample_id, coalesce(composition, 'unknown') AS composition, CAST(coalesce(paperid, 0) AS BIGINT) AS paper_id, '' AS property_x, '' AS property_y, '' AS unit_x, '' AS unit_y, 0e0 AS x, 0e0 AS y,
+        audit_tier AS confidence_tier, anomaly_flags | dup_flag AS anomaly_flags, zt_computed, kappa_lattice, lorenz_number, zt_error AS zt_cross_check_error FROM ({_audit_sql(_GRID)}) JOIN ({ORACLE["dedup_flags_row"]}) USING (row_id)"""
+)
+def publication_dataset_full(spark, sf_dir):
+    """The whole publication pipeline over the table of states: audit, duplicate bits, and all 15 fields."""
+    rows = table(spark, sf_dir, "interpolated_states").withColumnsRenamed({"row_id": "sample_id", "paperid": "paper_id"})
+    return pipelines.publication_dataset(rows, "sample_id")
+
+
 _LISTS = "SELECT o_orderkey AS id, concat('[', CAST(o_orderkey % 7 AS STRING), ', ', CAST(o_custkey % 5 AS STRING), ']') AS xs, CASE WHEN o_orderkey % 10 = 0 THEN '[1' WHEN o_orderkey % 9 = 0 THEN '[1]' ELSE concat('[', CAST(o_custkey % 3 AS STRING), ', 4]') END AS ys FROM orders"
 
 

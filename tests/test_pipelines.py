@@ -7,6 +7,7 @@ import pytest
 from kelvinlake.operators import clean, rank, states
 from kelvinlake.plans import data_queries, pipelines, reference_queries
 from kelvinlake.session import table
+from kelvinlake.sinks import writers
 
 
 def plan(df) -> str:
@@ -40,6 +41,13 @@ def test_publication_dataset(spark):
     assert pipelines.publication_dataset(df, "n", skip_dedup=True).filter("anomaly_flags = 8").count() == 1
 
 
+def test_publication_query_has_all_fields_and_duplicate_bits(spark, sf_dir):
+    df = reference_queries.QUERIES["publication_dataset_full"](spark, sf_dir)
+    assert df.columns == [n for n, _ in writers.PUBLICATION]
+    expected = {r["row_id"] for r in reference_queries.QUERIES["dedup_flags_row"](spark, sf_dir).filter("dup_flag = 1024").collect()}
+    assert expected and {r["sample_id"] for r in df.filter("anomaly_flags & 1024 <> 0").collect()} == expected
+
+
 def test_records(spark):
     curves = spark.createDataFrame([(1, "[300, 310]", "[2e-4, 2e-4]", "[1e5, 1e5]", "[1.5, 1.5]"), (2, "[300]", "[2e-4, 1]", "[1e5]", "[1.5]"), (3, "[300]", "[2e-4]", "[1e5]", "[-1]"), (4, "oops", "[1]", "[1]", "[1]")], "sample_id int, temperature string, seebeck string, electrical_conductivity string, thermal_conductivity string")
     samples = spark.createDataFrame([(i, "d") for i in range(1, 5)], "sample_id int, doi string")
