@@ -9,7 +9,7 @@ from kelvinlake.functions import constants as K
 from kelvinlake.functions import physics, quality, text, units
 from kelvinlake.operators import clean, curves, rank, states, stats
 from kelvinlake.plans import pipelines
-from kelvinlake.session import scratch_path, table
+from kelvinlake.session import scratch_path, table, written
 from kelvinlake.sinks import writers
 from kelvinlake.sources import corpus, tabular
 from kelvinlake.streaming import ingest
@@ -807,13 +807,14 @@ def two_shape_points(spark, sf_dir):
 
 @query()
 def scan_json_corpus(spark, sf_dir):
-    """Write the raw payloads out as a sharded corpus of JSON files, then scan and count it."""
-    raw = table(spark, sf_dir, "raw_files").filter("payload IS NOT NULL").select(F.concat(F.lit("shard="), (F.col("file_id") % 16).cast("string")).alias("shard"), "file_id", "payload")
+    """Write every raw payload as a JSON file of its own, scan the sharded corpus, and count files, records and the points that measurements gives."""
     root = scratch_path(spark, "corpus")
-    raw.select((F.col("file_id") % 16).alias("shard"), F.regexp_replace("payload", r"[\r\n]+", " ").alias("value")).repartition(16, "shard").write.partitionBy("shard").option("compression", "none").text(root)
-    lines = spark.read.schema(corpus.SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(root)
-    files = lines.withColumns({"source_domain": F.lit("samples"), "error": F.when(F.col("_corrupt").isNotNull(), "UNREADABLE")}).withColumns({a: F.coalesce(F.col(a), F.array().cast(lines.schema[a].dataType)) for a in corpus.ARRAYS})
-    return corpus.scan_summary(files)
+    writers.write_json_files(table(spark, sf_dir, "raw_files").select(F.col("file_id").cast("long"), "payload"), root)
+    files = written(corpus.scan_domain(spark, root, "samples"), "scan")
+    mismatch = F.count_if(physics.has_flag(F.col("anomaly_flags"), "FIGUREID_MISMATCH"))
+    points = corpus.measurements(files).groupBy("source_domain").agg(F.count(F.lit(1)).alias("n_points"), mismatch.alias("n_points_mismatch"))
+    missing = files.groupBy("source_domain").agg(F.count_if(F.col("error") == "UNREADABLE").alias("files_unreadable"), F.count_if(F.col("error") == "FIELD_MISSING").alias("files_field_missing"))
+    return corpus.scan_summary(files).join(missing, "source_domain").join(points, "source_domain", "left").fillna(0, ["n_points", "n_points_mismatch"])
 
 
 @query("SELECT property_id_y, count(*) AS n FROM (SELECT DISTINCT paper_id, figure_id, sample_id, property_id_y, x_raw, y_raw FROM fact_measurements WHERE " + _KEPT + ") GROUP BY 1")

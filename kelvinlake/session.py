@@ -41,6 +41,13 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def absolute_uri(path: str) -> str:
+    """A path as executors' own file access takes it: Hadoop's ``file:/x`` and a bare ``/x`` become ``file:///x``."""
+    if path.startswith("/"):
+        return f"file://{path}"
+    return "file:///" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path in the shared folder, removed by :func:`release` or at exit."""
     path = f"{shared_dir(spark)}/kelvinlake/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"

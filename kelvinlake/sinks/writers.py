@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from pathlib import Path
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelvinlake.functions import physics
-from kelvinlake.session import filesystem
+from kelvinlake.session import absolute_uri, filesystem
 
 
 def export_tables(tables: Mapping[str, DataFrame], root: str, level: int = 9) -> dict[str, str]:
@@ -46,6 +48,32 @@ def publication_rows(audited: DataFrame) -> DataFrame:
     return audited.select(*(column(n, k) for n, k in PUBLICATION))
 
 
+def write_json_files(rows: DataFrame, root: str, shards: int = 16) -> int:
+    """Write (id, text) rows as one file ``<root>/s<id mod shards>/<id>.json`` each, a null text as an empty file; returns the number of files.
+
+    Ids are unique whole numbers; the executors write, and a task run again writes the same files again.
+    """
+    uri = absolute_uri(root)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as pafs
+
+        system, base = pafs.FileSystem.from_uri(quote(uri, safe=":/"))
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                folder = f"{base}/s{i % shards:04d}"
+                if folder not in made:
+                    system.create_dir(folder)
+                    made.add(folder)
+                with system.open_output_stream(f"{folder}/{i}.json", compression=None) as out:
+                    out.write((text or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    made: set[str] = set()
+    one = rows.select(*rows.columns[:2]).mapInArrow(run, "n long").agg(F.sum("n").alias("n")).first()
+    return one["n"] or 0
+
+
 def write_checked(df: DataFrame, path: str, expected: T.StructType, compression: str = "snappy") -> int:
     """Cast to the expected schema or fail, write to a temporary folder, then swap; returns the row count."""
     spark = df.sparkSession

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kelvinlake.functions import constants as K
 from kelvinlake.functions import physics, text
-from kelvinlake.session import filesystem
+from kelvinlake.session import absolute_uri, filesystem
 
 #: Ids are read as text, since sources give numbers or digits; see ``text.flexible_id``.
 SCHEMA = (
@@ -34,15 +39,40 @@ def scan_domain(spark: SparkSession, root: str, domain: str, recursive: bool = F
     """One row per JSON file of a domain, with its arrays, its counts, and why it was refused, if it was.
 
     Files end in ``.json``. A file that cannot be parsed, or in which a measurement lacks a required id or number, is kept as
-    a row with ``error`` set and empty arrays: one bad file fails neither the others nor the scan. The schema is given, so files are read once.
+    a row with ``error`` set and empty arrays: one bad file fails neither the others nor the scan. A file is one row whatever
+    it holds: empty, blank, and those whose document is no object are unreadable. The schema is given, so files are read once.
     """
-    reader = spark.read.schema(SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
-    df = reader.option("recursiveFileLookup", True).json(root) if recursive else reader.json(shard_paths(spark, root))
+    paths = [root] if recursive else shard_paths(spark, root)
+    reader = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", recursive)
+    whole = reader.text(paths, wholetext=True).select(F.regexp_replace("value", "^\ufeff", "").alias("__text"), F.col("_metadata.file_path").alias("source_file"))
+    # Spark's readers skip files of no bytes; they are rows as any others.
+    df = whole.unionByName(_empty_files(spark, paths, recursive).withColumn("__text", F.lit("")))
+    shape = T._parse_datatype_string(SCHEMA)
+    df = df.withColumn("__d", F.from_json("__text", SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    df = df.withColumns({f.name: F.col(f"__d.{f.name}") for f in shape} | {"__readable": F.col("__d").isNotNull() & F.col("__d._corrupt").isNull()})
     valid = F.forall("rawdata", lambda m: F.coalesce(m["x"].try_cast("double").isNotNull() & m["y"].try_cast("double").isNotNull(), F.lit(False)) & _ids_ok(m))
-    error = F.when(F.col("_corrupt").isNotNull(), "UNREADABLE").when(~F.coalesce(valid, F.lit(True)), "FIELD_MISSING")
-    out = df.withColumns({"source_file": F.col("_metadata.file_path"), "source_domain": F.lit(domain), "error": error})
-    empty = {a: F.when(F.col("error").isNull(), F.coalesce(F.col(a), F.array().cast(df.schema[a].dataType))).otherwise(F.array().cast(df.schema[a].dataType)) for a in ARRAYS}
-    return out.withColumns(empty).drop("_corrupt")
+    error = F.when(~F.col("__readable"), "UNREADABLE").when(~F.coalesce(valid, F.lit(True)), "FIELD_MISSING")
+    out = df.withColumns({"source_domain": F.lit(domain), "error": error})
+    empty = {a: F.when(F.col("error").isNull(), F.coalesce(F.col(a), F.array().cast(shape[a].dataType))).otherwise(F.array().cast(shape[a].dataType)) for a in ARRAYS}
+    return out.withColumns(empty).select(*ARRAYS, "source_file", "source_domain", "error")
+
+
+def _empty_files(spark: SparkSession, paths: list[str], recursive: bool) -> DataFrame:
+    """(source_file) of the JSON files of no bytes in the folders, listed by the executors, one folder at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as pafs
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                uri = absolute_uri(path)
+                system, folder = pafs.FileSystem.from_uri(quote(uri, safe=":/"))
+                listed = system.get_file_info(pafs.FileSelector(folder, recursive=recursive))
+                names = [uri.removesuffix(folder) + quote(f.path) for f in listed if f.type == pafs.FileType.File and f.size == 0 and f.base_name.endswith(".json")]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["source_file"])
+
+    folders = spark.createDataFrame([(p,) for p in paths], "path string")
+    return folders.repartition(min(len(paths), spark.sparkContext.defaultParallelism)).mapInArrow(run, "source_file string")
 
 
 def _ids_ok(m: Column) -> Column:

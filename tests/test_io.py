@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelvinlake.functions import physics
+from kelvinlake.plans import reference_queries
+from kelvinlake.session import table
 from kelvinlake.sinks import writers
 from kelvinlake.sources import corpus, tabular
 from kelvinlake.streaming import ingest
@@ -49,6 +51,24 @@ def test_scan_domain(spark, root, tmp_path):
         corpus.shard_paths(spark, f"file://{tmp_path}/none")
 
 
+def test_scan_keeps_every_file_once(spark, tmp_path):
+    texts = [None, "", "  \n", "null", "[]", "[{}, {}]", "{broken", json.dumps({"rawdata": [measurement(), measurement(y=None)]}), json.dumps({"rawdata": [measurement()]}), "\ufeff{}"]
+    root = f"{tmp_path}/corpus"
+    rows = spark.createDataFrame(list(enumerate(texts)), "file_id long, payload string")
+    assert writers.write_json_files(rows, root, 3) == len(texts)
+    for files in (corpus.scan_domain(spark, f"file://{root}", "samples"), corpus.scan_domain(spark, f"file:{root}", "samples", recursive=True)):
+        errors = {int(r["source_file"].rsplit("/", 1)[1].split(".")[0]): r["error"] for r in files.collect()}
+        assert files.count() == len(texts) and errors == {i: "UNREADABLE" for i in range(7)} | {7: "FIELD_MISSING", 8: None, 9: None}
+        assert corpus.measurements(files).count() == 1
+
+
+def test_scan_query_refuses_files_with_missing_fields(spark, sf_dir):
+    one = reference_queries.QUERIES["scan_json_corpus"](spark, sf_dir).first()
+    assert one["files_seen"] == table(spark, sf_dir, "raw_files").count()
+    assert one["files_field_missing"] > 0 and one["files_failed"] == one["files_unreadable"] + one["files_field_missing"]
+    assert one["n_points"] == one["n_kept"] and one["n_points_mismatch"] == one["n_figure_mismatch"]
+
+
 def test_two_shapes(spark):
     df = spark.createDataFrame([(1, '{"sample_id": 7, "data_points": [{"x": "1.5", "y": 2}, {"sampleid": 8, "x": "bad", "y": 1}]}'), (2, '{"rawdata": [{"sample_id": "9", "x": 1, "y": 2}]}'), (3, "{}"), (4, None)], "id int, payload string")
     assert sorted((r["id"], r["sample_id"], r["x"]) for r in corpus.two_shape_points(df).collect()) == [(1, 7, 1.5), (2, 9, 1.0)]
