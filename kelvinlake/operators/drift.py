@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -247,49 +248,74 @@ def field_changes(scripts: DataFrame) -> DataFrame:
 # ---- one consistent table -----------------------------------------------------------------------------------------
 
 
-def compile_projection(scripts: DataFrame, min_support: int = 2) -> dict[str, list[str]]:
-    """Compile the scripts into a projection: canonical record field -> its names, oldest first.
+def _together(raw_files: DataFrame, names: list[str]) -> set[tuple[str, str]]:
+    """Which two of the names ever have a value in one record."""
+    wanted = frozenset(names)
 
-    Renames seen at least ``min_support`` times link two names; linked names form one column, called by the name that is
-    the old side most often. What comes to the driver is the vocabulary of field names, which becomes the columns
-    of the table, and not anything that grows with the rows.
-    """
-    edges = (
-        scripts.filter((F.col("op") == "rename") & F.col("old_path").startswith("record.") & F.col("new_path").startswith("record."))
-        .groupBy("old_path", "new_path")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_support)
-        .collect()
-    )
-    group: dict[str, str] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = set()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                document = parse_document(text) or {}
+                for item in (e for a in RECORD_ARRAYS for e in as_elements(document.get(a)) if isinstance(e, dict)):
+                    pairs.update(combinations(sorted(k for k in wanted & item.keys() if item[k] is not None), 2))
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in pairs], pa.string()), pa.array([q for _, q in pairs], pa.string())], names=["p", "q"])
+
+    return {(r["p"], r["q"]) for r in raw_files.select("payload").mapInArrow(run, "p string, q string").distinct().collect()}
 
-    def find(x: str) -> str:
-        while group.setdefault(x, x) != x:
-            x = group[x]
-        return x
 
+def compile_projection(scripts: DataFrame, raw_files: DataFrame, min_share: float = 0.5) -> dict[str, list[str]]:
+    """Compile the scripts into a projection: canonical record field -> its names, commonest old name first.
+
+    Renames of own fields link two names that are spellings of one name. Others are linked if of the steps that bring
+    or take the rarer name at least ``min_share`` are renames between the two, and no record has a value under names of
+    both sides. Linked names form one column. What comes to the driver is the vocabulary of field names, which becomes
+    the columns of the table, and not anything that grows with the rows.
+    """
+    own = scripts.filter(F.coalesce(F.col("old_own"), F.lit(False)) | F.coalesce(F.col("new_own"), F.lit(False)))
+    steps = own.filter(F.col("op").isin("add", "delete", "rename", "move")).groupBy("op", "old_path", "new_path", "old_own", "new_own").agg(F.count(F.lit(1)).alias("n")).collect()
+    touched: dict[str, int] = {}
+    renames: dict[tuple[str, str], int] = {}
     score: dict[str, int] = {}
-    for e in sorted(edges, key=lambda r: (-r["n"], r["old_path"], r["new_path"])):
-        p, q = find(e["old_path"]), find(e["new_path"])
-        if _plain(e["old_path"]) == _plain(e["new_path"]) and p != q:
-            group[q] = p
-        score[e["old_path"]] = score.get(e["old_path"], 0) + e["n"]
-    out: dict[str, list[str]] = {}
-    for name in sorted(group, key=lambda x: (-score.get(x, 0), x)):
-        out.setdefault(find(name), []).append(name)
-    return {members[0].removeprefix("record."): [m.removeprefix("record.") for m in members] for members in out.values() if len(members) > 1}
+    for s in steps:
+        for path in {s["old_path"], s["new_path"]} - {None}:
+            touched[path] = touched.get(path, 0) + s["n"]
+        if s["op"] == "rename" and s["old_own"] and s["new_own"] and s["old_path"].startswith("record.") and s["new_path"].startswith("record."):
+            pair = tuple(sorted((s["old_path"].removeprefix("record."), s["new_path"].removeprefix("record."))))
+            renames[pair] = renames.get(pair, 0) + s["n"]
+            old = s["old_path"].removeprefix("record.")
+            score[old] = score.get(old, 0) + s["n"]
+    together = _together(raw_files, sorted({n for pair in renames for n in pair})) if renames else set()
+    group = {n: [n] for pair in renames for n in pair}
+    for (p, q), n in sorted(renames.items(), key=lambda r: (_plain(r[0][0]) != _plain(r[0][1]), -r[1], r[0])):
+        if group[p] is group[q]:
+            continue
+        if _plain(p) != _plain(q):
+            share = n / min(touched[f"record.{p}"], touched[f"record.{q}"])
+            if share < min_share or any((min(x, y), max(x, y)) in together for x in group[p] for y in group[q]):
+                continue
+        group[p].extend(group[q])
+        for name in group[q]:
+            group[name] = group[p]
+    out = {}
+    for members in {id(g): g for g in group.values() if len(g) > 1}.values():
+        members = sorted(members, key=lambda x: (-score.get(x, 0), x))
+        out[members[0]] = members
+    return out
 
 
 def unified_records(raw_files: DataFrame, projection: dict[str, list[str]], fields: tuple[str, ...]) -> DataFrame:
     """One consistent table of all records: (file_id, array_name, rec_pos, a text column per field, extra).
 
     ``projection`` (see :func:`compile_projection`) is applied to every file: a field takes the first non-null value
-    among its names, then the document's own field of that name. Values are text in JSON notation, so that a field
-    retyped between files stays one column; whatever has no column is kept as JSON in ``extra``. Files without a
-    readable document give no rows.
+    among its names, then the document's own field of that name; its names are those of the group it is in. Values are
+    text in JSON notation, so that a field retyped between files stays one column; whatever gives no column its value is
+    kept as JSON in ``extra``, fields of the document as ``root.<key>``, unless it repeats the column's value. Files without
+    a readable document give no rows.
     """
-    names = {f: [f, *(n for n in projection.get(f, []) if n != f)] for f in fields}
-    known = {n for group in names.values() for n in group}
+    linked = {n: members for members in projection.values() for n in members}
+    names = {f: [f, *(n for n in linked.get(f, []) if n not in fields)] for f in fields}
+    column_of = {n: f for f, group in names.items() for n in group}
     arrow = pa.schema([("file_id", pa.int64()), ("array_name", pa.string()), ("rec_pos", pa.int32()), *((f, pa.string()) for f in fields), ("extra", pa.string())])
 
     def text(value) -> str | None:
@@ -304,14 +330,15 @@ def unified_records(raw_files: DataFrame, projection: dict[str, list[str]], fiel
                     for pos, item in enumerate(as_elements(document.get(array))):
                         if not isinstance(item, dict):
                             continue
-                        values = []
-                        for group in names.values():
+                        values = {}
+                        for f, group in names.items():
                             own = next((item[n] for n in group if item.get(n) is not None), None)
                             if own is None:
                                 own = next((document[n] for n in group if document.get(n) is not None), None)
-                            values.append(text(own))
-                        extra = {k: v for k, v in item.items() if k not in known and v is not None}
-                        rows.append((file_id, array, pos, *values, json.dumps(extra, sort_keys=True) if extra else None))
+                            values[f] = text(own)
+                        left = [*item.items(), *((f"root.{k}", v) for k, v in document.items() if k not in RECORD_ARRAYS)]
+                        extra = {k: v for k, v in left if v is not None and not ((f := column_of.get(k.removeprefix("root."))) and values[f] == text(v))}
+                        rows.append((file_id, array, pos, *values.values(), json.dumps(extra, sort_keys=True) if extra else None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(arrow)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)
 

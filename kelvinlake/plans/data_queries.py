@@ -184,7 +184,7 @@ def p6_script_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records of all files in one consistent table, by the compiled projections."""
     raw = table(spark, sf_dir, "raw_files")
-    projection = drift.compile_projection(drift.change_scripts(raw))
+    projection = drift.compile_projection(drift.change_scripts(raw), raw)
     return drift.unified_records(raw, projection, UNIFIED_FIELDS)
 
 

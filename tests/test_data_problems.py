@@ -201,3 +201,17 @@ def test_unified_records(spark):
     df = spark.createDataFrame(list(enumerate(payloads)), "file_id long, payload string")
     out = drift.unified_records(df, {"sampleid": ["sampleid", "sample_id"]}, ("sampleid", "x")).collect()
     assert sorted((r["file_id"], r["array_name"], r["rec_pos"], r["sampleid"], r["x"] or "", r["extra"]) for r in out) == [(0, "rawdata", 0, "1", "2", '{"q": [1]}'), (0, "rawdata", 2, "7", "", None), (1, "data_points", 0, "9", "3", None)]
+
+
+def test_renames_are_merged_on_evidence(spark):
+    def record(fig, **kw):
+        return json.dumps({"rawdata": [{"x": 1, "y": 2, fig: 5} | kw], "lab": "k"})
+
+    payloads = [record("figureid", err_x=1), record("figId", err_x=1), record("figureid"), record("figureid", err_y=1), json.dumps({"rawdata": [{"figureid": 5, "err_x": 1, "err_y": 2}]})]
+    raw = spark.createDataFrame([(i, "f", datetime(2024, 1, 1 + i), p) for i, p in enumerate(payloads)], "file_id long, feed string, exported_at timestamp, payload string")
+    projection = drift.compile_projection(drift.change_scripts(raw), raw)
+    assert [sorted(m) for m in projection.values()] == [["figId", "figureid"]]
+    for keyed in (projection, {"figId": ["figId", "figureid"]}):
+        out = {r["file_id"]: r for r in drift.unified_records(raw, keyed, ("figureid", "x")).collect()}
+        assert {r["figureid"] for r in out.values()} == {"5"}
+        assert json.loads(out[1]["extra"]) == {"y": 2, "err_x": 1, "root.lab": "k"}
