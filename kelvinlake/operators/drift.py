@@ -41,16 +41,26 @@ def schema_tree(document: dict) -> list | None:
     return ["", "", [["record", "object", _merge(records)], ["root", "object", root]]]
 
 
-def _merge(objects: list[dict], depth: int = 0) -> list:
-    seen: dict[str, tuple[set, list]] = {}
-    for o in objects:
-        for k, v in o.items():
-            if v is None:
-                continue
-            kinds, inner = seen.setdefault(k, (set(), []))
-            kinds.add(kind_of(v))
-            inner.extend(e for e in as_elements(v) if isinstance(e, dict))
-    return sorted([k, "|".join(sorted(kinds)), _merge(inner, depth + 1) if inner and depth < 8 else []] for k, (kinds, inner) in seen.items())
+def _merge(objects: list[dict]) -> list:
+    """The fields of the objects at every depth, with a stack of its own."""
+    top: list = []
+    todo = [(objects, top)]
+    while todo:
+        group, out = todo.pop()
+        seen: dict[str, tuple[set, list]] = {}
+        for o in group:
+            for k, v in o.items():
+                if v is None:
+                    continue
+                kinds, inner = seen.setdefault(k, (set(), []))
+                kinds.add(kind_of(v))
+                inner.extend(e for e in as_elements(v) if isinstance(e, dict))
+        for k in sorted(seen):
+            kinds, inner = seen[k]
+            out.append([k, "|".join(sorted(kinds)), children := []])
+            if inner:
+                todo.append((inner, children))
+    return top
 
 
 def file_schemas(raw_files: DataFrame) -> DataFrame:
@@ -99,17 +109,19 @@ def _postorder(tree: list) -> tuple[list[tuple], list[int]]:
     nodes: list[tuple] = []
     leftmost: list[int] = []
 
-    def visit(node: list, path: str) -> int:
+    stack = [[tree, "", 0, -1]]  # node, path of its parent, children begun, first leaf
+    while stack:
+        node, path, i, first = stack[-1]
         own = f"{path}.{node[0]}" if path else node[0]
-        first = -1
-        for child in node[2]:
-            leaf = visit(child, own)
-            first = leaf if first < 0 else first
+        if i < len(node[2]):
+            stack[-1][2] += 1
+            stack.append([node[2][i], own, 0, -1])
+            continue
+        stack.pop()
         nodes.append((node[0], node[1], path, own))
         leftmost.append(first if first >= 0 else len(nodes) - 1)
-        return leftmost[-1]
-
-    visit(tree, "")
+        if stack and stack[-1][3] < 0:
+            stack[-1][3] = leftmost[-1]
     return nodes, leftmost
 
 

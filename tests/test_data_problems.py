@@ -215,3 +215,15 @@ def test_renames_are_merged_on_evidence(spark):
         out = {r["file_id"]: r for r in drift.unified_records(raw, keyed, ("figureid", "x")).collect()}
         assert {r["figureid"] for r in out.values()} == {"5"}
         assert json.loads(out[1]["extra"]) == {"y": 2, "err_x": 1, "root.lab": "k"}
+
+
+@pytest.mark.parametrize("depth", [12, 200])
+def test_scripts_reach_every_depth(depth):
+    def tree(leaf):
+        inner = {leaf: 1}
+        for i in range(depth):
+            inner = {f"k{i}": inner}
+        return drift.schema_tree({"rawdata": [inner]})
+
+    (step,) = drift.edit_script(tree("qqq"), tree("qqqz"))
+    assert step[0] == "rename" and step[1].endswith(".k0.qqq") and step[1].count(".") == depth + 1
