@@ -15,23 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelvinlake.llm import lexicon
-from kelvinlake.llm.literals import PatternSet
+from kelvinlake.llm import lexicon, scorer
 from kelvinlake.session import spread
 
 #: Hash table of word counts over all documents; its size bounds what reaches the driver and the workers.
 VOCABULARY = 1 << 18
 #: Share of all words from which a word counts as known.
 KNOWN_SHARE = 2.5e-6
-#: Sentences of the documents that serve as unlabelled background of the classifier (a bounded sample of rows).
-BACKGROUND = 3_000
-FEATURES = 4096
-#: Paths kept by the decoder, and for tokens with masks, each of which may be any letter.
-BEAM, MASK_BEAM = 48, 400
+#: Share of all words from which a word counts as common.
+COMMON_SHARE = 1e-4
 #: Costs of the channel, in nats: a stand-in for a letter, a mask, a repeated letter, a separator.
 LEET_COST, MASK_COST, REPEAT_COST, SPLIT_COST = 1.0, 1.0, 0.8, 0.3
 #: Passages from this score on make a document a case.
-THRESHOLD = 0.6
+THRESHOLD = 0.5
+#: What a word of the lists and one the documents know are worth against any other string of letters, in nats.
+LISTED_BONUS, KNOWN_BONUS = 4.0, 2.5
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0x180E], "")
@@ -41,18 +39,21 @@ _TAG = re.compile(r"<[^<>]{1,200}>|&(?:nbsp|amp|lt|gt|quot);|\[/?[a-z]{1,8}\]")
 _HASHTAG = re.compile(r"#(\w{3,})")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 #: Abbreviations whose full stop ends no sentence.
-_ABBREV = tuple((f"{a}. ", f"{a} ") for b in ("fig", "figs", "eq", "ref", "refs", "no", "vs", "al", "approx", "ca", "dr", "prof", "abb", "bzw") for a in (f" {b}", f" {b.capitalize()}", f"({b}", f"({b.capitalize()}"))
+_ABBREV = frozenset("fig. figs. eq. ref. refs. no. vs. al. approx. ca. dr. prof. abb. bzw.".split())
 _WRAP = re.compile(r"[ \t]*\r?\n(?!\s*\n)[ \t]*")
 _BLANKS = re.compile(r"[ \t]{2,}|\t")
-_SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+|\s+(?=>)|\s{0,3}\n\s*\n\s*")
+_PARAGRAPH = re.compile(r"\n\s*\n\s*")
+_QUOTE = re.compile(r"\s+(?=>)")
+_END = re.compile(r"[.!?][\"')\]]*\s+")
+_COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_](?:\1[^\W\d_]){1,}(?![^\W_])")
 #: Two single letters with the same separator: what letters spread by separators hold.
 _SINGLE = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_]\1[^\W\d_](?![^\W_])|[ \-._*/][^\W\d_]([ \-._*/]{1,2})[^\W\d_]\2")
 _TOKEN = re.compile(r"[^\s\"“”„«»,;:?()\[\]{}<>/\\]+")
-_FORMULA = re.compile(r"(?:[A-Z][a-z]?\d*(?:\.\d+)?)+$")
-_WORD = re.compile(r"[a-z]+(?:'[a-z]+)?")
-#: Words of the lists with one letter left out.
-_SHORT = {w[:i] + w[i + 1 :]: w for words, least in ((lexicon.STRONG, 5), (lexicon.WEAK, 6), (lexicon.SCORN, 6)) for w in words if len(w) >= least for i in range(len(w))}
+_ELEMENT = "|".join(sorted(lexicon.ELEMENTS, key=len, reverse=True))
+_FORMULA = re.compile(rf"(?:(?:{_ELEMENT})(?:[1-9]\d*(?:\.\d+)?|0?\.\d+|[-+]?x)?[-+]?)+$")
+_LABEL = re.compile(r"[A-Z]-?\d+[a-z]?|[a-z]-\d+|\d+-[a-z]+|[a-zA-Z]+[-'’][a-zA-Z]+(?:[-'’][a-zA-Z]+)*")
+_NUMBER = re.compile(r"[-+]?\d+(?:[.,]\d+)*(?:e[-+]?\d+)?([%a-zA-Z]*)")
 
 
 def repair(text: str) -> str:
@@ -74,7 +75,7 @@ def fold(text: str) -> str:
     if text.isascii() or (text := text.translate(_INVISIBLE)).isascii():
         return text
     text = unicodedata.normalize("NFKD", text.translate(_LOOK)).translate(_LOOK)
-    return "".join(c for c in text if not unicodedata.combining(c))
+    return _COMBINING.sub("", text)
 
 
 def passages(text: str | None) -> list[str]:
@@ -91,20 +92,33 @@ def passages(text: str | None) -> list[str]:
         text = _WRAP.sub(" ", text)
     if "  " in text or "\t" in text:
         text = _BLANKS.sub(" ", text)
-    for dotted, plain in _ABBREV:
-        if dotted in text:
-            text = text.replace(dotted, plain)
-    return [p.strip() for p in _SENTENCE.split(text) if p and p.strip()]
+    out: list[str] = []
+    for paragraph in _PARAGRAPH.split(text) if "\n" in text else (text,):
+        for part in _QUOTE.split(paragraph) if ">" in paragraph else (paragraph,):
+            at = 0
+            for m in _END.finditer(part):
+                # A full stop after an abbreviation ends nothing.
+                if part[m.start()] == "." and part[max(at, m.start() - 8) : m.start() + 1].rsplit(" ", 1)[-1].lstrip("(").lower() in _ABBREV:
+                    continue
+                if sentence := part[at : m.end()].strip():
+                    out.append(sentence)
+                at = m.end()
+            if sentence := part[at:].strip():
+                out.append(sentence)
+    return out
 
 
 # ---- the character language model -----------------------------------------------------------------------------------
 
+_SIZE = 27
+_CONTEXTS = _SIZE**3
+
 
 def _key(gram: str) -> int:
-    """A four-gram over a-z and the boundary as a number below 27**4."""
+    """A gram over a-z and the boundary as a number to the base 27."""
     k = 0
     for c in gram:
-        k = k * 27 + (0 if c == " " else ord(c) - 96)
+        k = k * _SIZE + (0 if c == " " else ord(c) - 96)
     return k
 
 
@@ -122,17 +136,18 @@ def corpus_counts(documents: DataFrame) -> DataFrame:
         def spill() -> None:
             for w, n in words.items():
                 hashed[zlib.crc32(w.encode()) % VOCABULARY] += n
-                padded = f"   {w} "
-                for i in range(len(padded) - 3):
-                    grams[_key(padded[i : i + 4])] += n
+                k = 0
+                for c in w.encode() + b"`":  # the sign before a stands for the boundary, 0
+                    k = (k * _SIZE + c - 96) % _SIZE**4
+                    grams[k] += n
             words.clear()
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    words.update(w for w in re.findall(r"[a-z]+", fold(repair(text)).lower()) if len(w) < 40)
-            if len(words) > 200_000:
-                spill()
+                    words.update(re.findall(r"[a-z]+", fold(repair(text)).lower()))
+                    if len(words) > 200_000:
+                        spill()
         spill()
         keys = [*grams, *hashed]
         yield pa.RecordBatch.from_arrays(
@@ -144,22 +159,26 @@ def corpus_counts(documents: DataFrame) -> DataFrame:
 
 @dataclass
 class CharModel:
-    """Character four-gram model with backoff, and a hashed table of known words."""
+    """Character four-gram model with backoff, a hashed table of word counts, and a trie of listed words."""
 
     grams: dict[int, float]
     vocabulary: np.ndarray
+    total: int
     words: frozenset[str]
     _memo: dict[str, str] = field(default_factory=dict)
     _tokens: dict[str, str] = field(default_factory=dict)
-    _plain: set[str] = field(default_factory=set)
-    _low: tuple = ()
+    _log: np.ndarray | None = None
+    _trie: list | None = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_memo": {}, "_tokens": {}, "_log": None, "_trie": None}
 
     @classmethod
-    def fit(cls, counts: DataFrame, extra_words: list[str]) -> CharModel:
-        """From the counts of the corpus, and words of the lists and examples so that what is hidden can be restored."""
+    def fit(cls, counts: DataFrame, listed: list[str], extra: list[str]) -> CharModel:
+        """From the counts of the corpus, with words of the lists and examples added so that what is hidden can be restored."""
         grams: Counter[int] = Counter()
         vocabulary = np.zeros(VOCABULARY, dtype=np.int64)
-        table = counts.toArrow()
+        table = counts.toArrow()  # at most 27**4 + VOCABULARY rows
         for kind, key, n in zip(*(table.column(c).to_pylist() for c in ("kind", "key", "n")), strict=True):
             if kind:
                 vocabulary[key] = n
@@ -167,114 +186,195 @@ class CharModel:
                 grams[key] = n
         total = int(vocabulary.sum())
         boost = max(1.0, 2e-5 * total)
-        for w, n in Counter(extra_words).items():
+        for w, n in Counter([*listed, *listed, *extra]).items():
             padded = f"   {w} "
             for i in range(len(padded) - 3):
                 grams[_key(padded[i : i + 4])] += boost * min(n, 3)
-        known = vocabulary >= max(3, KNOWN_SHARE * total)
-        return cls(dict(grams), known, frozenset(extra_words))
-
-    def prepare(self) -> None:
-        if self._low:
-            return
-        tri: dict[int, float] = {}
-        bi: dict[int, float] = {}
-        bi_next: dict[int, float] = {}
-        uni = np.ones(27)
-        for k, n in self.grams.items():
-            tri[k // 27] = tri.get(k // 27, 0) + n
-            bi_next[k % 729] = bi_next.get(k % 729, 0) + n
-            bi[(k % 729) // 27] = bi.get((k % 729) // 27, 0) + n
-            uni[k % 27] += n
-        self._low = (tri, bi, bi_next, uni / uni.sum())
-
-    def log_next(self, context: str, c: str) -> float:
-        """log P(c | last three characters), interpolated with the bigram and unigram."""
-        tri, bi, bi_next, uni = self._low
-        k3, x = _key(context), _key(c)
-        k1 = k3 % 27
-        p1 = uni[x]
-        p2 = (bi_next.get(k1 * 27 + x, 0) + 2 * p1) / (bi.get(k1, 0) + 2)
-        return math.log((self.grams.get(k3 * 27 + x, 0) + 3 * p2) / (tri.get(k3, 0) + 3))
-
-    def known(self, word: str) -> bool:
-        return word in self.words or bool(self.vocabulary[zlib.crc32(word.encode()) % VOCABULARY])
+        return cls(dict(grams), vocabulary, total, frozenset(listed) | frozenset(extra))
 
-    def decode(self, token: str) -> str:
-        """The likeliest word behind a token: Viterbi over the lattice of what its characters may stand for.
+    def count(self, word: str) -> int:
+        """How often a word occurs in the documents, or more where words share a bucket."""
+        return int(self.vocabulary[zlib.crc32(word.encode()) % VOCABULARY])
 
-        Arcs: a letter as itself or, after the same letter, as a repetition; digits and signs as the letters they
-        resemble; masks as any letter; separators as nothing. States are the last three letters; the best
-        paths at the end are compared with known words preferred.
+    def known(self, word: str) -> bool:
+        return word in self.words or self.frequent(word)
+
+    def frequent(self, word: str) -> bool:
+        return self.count(word) >= max(3, KNOWN_SHARE * self.total)
+
+    def common(self, word: str) -> bool:
+        """Whether a word is among the most frequent of the documents."""
+        return self.count(word) >= max(3, COMMON_SHARE * self.total)
+
+    def log_next(self) -> np.ndarray:
+        """log P(c | last three letters) for every context and letter, interpolated with the bigram and unigram."""
+        if self._log is None:
+            four = np.zeros(_SIZE**4)
+            at = np.fromiter(self.grams, dtype=np.int64, count=len(self.grams))
+            four[at] = np.fromiter(self.grams.values(), dtype=float, count=len(self.grams))
+            four = four.reshape(_CONTEXTS, _SIZE)
+            two = four.reshape(_SIZE * _SIZE, _SIZE, _SIZE).sum(axis=0)
+            one = two.sum(axis=0) + 1
+            p1 = one / one.sum()
+            p2 = (two + 2 * p1) / (two.sum(axis=1, keepdims=True) + 2)
+            prior = np.tile(p2, (_SIZE * _SIZE, 1))
+            self._log = np.log((four + 3 * prior) / (four.sum(axis=1, keepdims=True) + 3))
+        return self._log
+
+    def log_word(self, word: str) -> float:
+        log, context, out = self.log_next(), 0, 0.0
+        for c in word:
+            x = ord(c) - 96
+            out += log[context, x]
+            context = (context * _SIZE + x) % _CONTEXTS
+        return float(out + log[context, 0])
+
+    def trie(self) -> list:
+        """Nodes [children by letter, letter, word ending here, cost of it]; node 0 is the root."""
+        if self._trie is None:
+            nodes: list = [[{}, "", None, 0.0]]
+            for w in sorted(self.words):
+                at = 0
+                for c in w:
+                    if c not in nodes[at][0]:
+                        nodes[at][0][c] = len(nodes)
+                        nodes.append([{}, c, None, 0.0])
+                    at = nodes[at][0][c]
+                nodes[at][2], nodes[at][3] = w, self.log_word(w)
+            self._trie = nodes
+        return self._trie
+
+    @staticmethod
+    def lattice(token: str) -> list[tuple[list[tuple[str, float]], float | None]]:
+        """Per character, the letters it may stand for with their costs, and the cost of leaving it out, if it may be.
+
+        A mask is a separator as well where single letters alternate with signs.
         """
-        token = token.lower()
-        if token in self._memo:
-            return self._memo[token]
-        self.prepare()
-        # Paths with the same last letters merge; with masks too many words end alike, and paths merge by their whole text.
-        states: dict[tuple[str, str], tuple[float, str, str, str]] = {("", ""): (0.0, "   ", "", "")}
-        # A mask is a separator only where single letters alternate with signs.
-        spread = len(token) > 2 and not any(x.isalnum() for x in token[1::2]) and all(x.isalnum() for x in token[::2])
-        masked = any(c in lexicon.MASKS for c in token)
-        beam = MASK_BEAM if masked else BEAM
-        for c in token[:60]:
-            nxt: dict[tuple[str, str], tuple[float, str, str, str]] = {}
-
-            def reach(context: str, last: str, score: float, text: str, nxt=nxt) -> None:
-                key = (text if masked else context, last)
-                held = nxt.get(key)
-                if held is None or held[0] < score:
-                    nxt[key] = (score, context, last, text)
-
+        spread_out = len(token) > 2 and not any(x.isalnum() for x in token[1::2]) and all(x.isalnum() for x in token[::2])
+        out = []
+        for c in token:
             if c in lexicon.MASKS:
                 options = [(x, MASK_COST) for x in _LETTERS]
             elif c in _LETTERS:
                 options = [(c, 0.0)]
             else:
                 options = [(x, LEET_COST) for x in lexicon.LEET.get(c, "")]
-            for score, context, last, text in states.values():
-                for x, cost in options:
-                    reach(context[1:] + x, x, score - cost + self.log_next(context, x), text + x)
-                    if x == last:
-                        reach(context, last, score - cost - REPEAT_COST, text)
-                if c in "-._ '/" or (c == "*" and spread) or not options:
-                    reach(context, last, score - SPLIT_COST - (1.5 if options else 0), text)
-            states = dict(sorted(nxt.items(), key=lambda s: -s[1][0])[:beam])
-        ends = [(score + self.log_next(context, " "), text) for score, context, _, text in states.values() if text]
-
-        def rank(end: tuple[float, str]) -> float:
-            return end[0] + (4.0 if end[1] in self.words else 2.5 if self.known(end[1]) else 0.0)
-
-        best = max(ends, key=rank)[1] if ends else token
+            drop = None
+            if c in "-._ '/" or (c == "*" and spread_out) or not options:
+                drop = SPLIT_COST + (1.5 if options else 0.0)
+            out.append((options, drop))
+        return out
+
+    def decode(self, token: str) -> str:
+        """The likeliest word behind a token, by Viterbi over the lattice of what its characters may stand for.
+
+        A letter stands for itself or, after the same letter, for a repetition; digits and signs for the letters they
+        resemble; masks for any letter; separators for nothing. Both searches are exact, of tokens of any length: one
+        over the trie of listed words, one over all strings of letters under the character model. Listed words are
+        preferred, then words the documents know.
+        """
+        token = token.lower()
+        held = self._memo.get(token)
+        if held is not None:
+            return held
+        lattice = self.lattice(token)
+        ends = [(score + LISTED_BONUS, word) for score, word in self._listed(lattice)]
+        score, word = self._free(lattice)
+        if word:
+            ends.append((score + (LISTED_BONUS if word in self.words else KNOWN_BONUS if self.known(word) else 0.0), word))
+        best = max(ends)[1] if ends else token
         if len(self._memo) > 50_000:
             self._memo.clear()
         self._memo[token] = best
         return best
 
-    def restore(self, passage: str) -> str:
-        """The passage in lower case with its disguised tokens decoded, and a left-out letter of a listed word put back; ordinary words stay as they are."""
-        plain, single = self._plain, False
-        for t in passage.split(" "):
-            if t not in plain and not self._is_plain(t):
-                return self._decoded(passage)
-            if len(t) == 1 and t.isalpha():
-                if single:
-                    return self._decoded(passage)
-                single = True
+    def _listed(self, lattice: list) -> list[tuple[float, str]]:
+        nodes = self.trie()
+        states = {0: 0.0}
+        for options, drop in lattice:
+            nxt: dict[int, float] = {}
+            for at, score in states.items():
+                children, letter = nodes[at][0], nodes[at][1]
+                for x, cost in options:
+                    to = children.get(x)
+                    if to is not None and nxt.get(to, -math.inf) < score - cost:
+                        nxt[to] = score - cost
+                    if x == letter and nxt.get(at, -math.inf) < score - cost - REPEAT_COST:
+                        nxt[at] = score - cost - REPEAT_COST
+                if drop is not None and nxt.get(at, -math.inf) < score - drop:
+                    nxt[at] = score - drop
+            states = nxt
+            if not states:
+                break
+        return [(score + nodes[at][3], nodes[at][2]) for at, score in states.items() if nodes[at][2]]
+
+    def _free(self, lattice: list) -> tuple[float, str]:
+        """Best string of letters: states are the last three letters, with all of them kept; back pointers give the path."""
+        log = self.log_next()
+        states: dict[int, float] | np.ndarray = {0: 0.0}
+        back: list = []
+        for options, drop in lattice:
+            if isinstance(states, dict) and len(options) > 2:
+                dense = np.full(_CONTEXTS, -np.inf)
+                for at, score in states.items():
+                    dense[at] = score
+                states = dense
+            if isinstance(states, dict):
+                nxt: dict[int, float] = {}
+                came: dict[int, tuple[int, int]] = {}
+                for at, score in states.items():
+                    moves = [((at * _SIZE + ord(x) - 96) % _CONTEXTS, score - cost + log[at, ord(x) - 96], ord(x) - 96) for x, cost in options]
+                    moves += [(at, score - cost - REPEAT_COST, 0) for x, cost in options if at % _SIZE == ord(x) - 96]
+                    if drop is not None:
+                        moves.append((at, score - drop, 0))
+                    for to, s, x in moves:
+                        if s > nxt.get(to, -math.inf):
+                            nxt[to], came[to] = s, (at, x)
+                states = nxt
             else:
-                single = False
-        return passage.lower()
-
-    def _is_plain(self, t: str) -> bool:
-        """Whether decoding leaves a token as it is; such tokens are remembered."""
-        if self._decoded(t) != t.lower():
-            return False
-        if len(self._plain) > 500_000:
-            self._plain.clear()
-        self._plain.add(t)
-        return True
+                new = np.full(_CONTEXTS, -np.inf)
+                source = np.arange(_CONTEXTS, dtype=np.int32)
+                letter = np.zeros(_CONTEXTS, dtype=np.int8)
+                if drop is not None:
+                    new = states - drop
+                for x, cost in options:
+                    x = ord(x) - 96
+                    if np.isfinite(states[x::_SIZE]).any():
+                        stay = states[x::_SIZE] - cost - REPEAT_COST
+                        better = stay > new[x::_SIZE]
+                        new[x::_SIZE][better] = stay[better]
+                    step = (states - cost + log[:, x]).reshape(_SIZE, _SIZE * _SIZE)
+                    first = step.argmax(axis=0)
+                    value = step[first, np.arange(_SIZE * _SIZE)]
+                    to = np.arange(_SIZE * _SIZE) * _SIZE + x
+                    better = value > new[to]
+                    new[to[better]] = value[better]
+                    source[to[better]] = (first * _SIZE * _SIZE + np.arange(_SIZE * _SIZE))[better]
+                    letter[to[better]] = x
+                states, came = new, (source, letter)
+            back.append(came)
+        if isinstance(states, dict):
+            ends = {at: s + log[at, 0] for at, s in states.items() if at}
+            if not ends:
+                return -math.inf, ""
+            at = max(ends, key=ends.get)
+            score = ends[at]
+        else:
+            final = states + log[:, 0]
+            final[0] = -np.inf
+            at = int(final.argmax())
+            score = float(final[at])
+            if not np.isfinite(score):
+                return -math.inf, ""
+        out = []
+        for came in reversed(back):
+            at, x = came[at] if isinstance(came, dict) else (int(came[0][at]), int(came[1][at]))
+            if x:
+                out.append(chr(96 + x))
+        return float(score), "".join(reversed(out))
 
-    def _decoded(self, passage: str) -> str:
+    def restore(self, passage: str) -> str:
+        """The passage in lower case with its disguised tokens decoded, and a left-out letter of a listed word put back; ordinary words stay as they are."""
         memo = self._tokens
 
         def token(m: re.Match) -> str:
@@ -301,14 +401,14 @@ class CharModel:
         if not raw or raw.isdigit():
             return whole.lower()
         low = raw.lower()
-        signs = sum(not c.isalpha() for c in raw)
-        if not signs:
-            if low in _SHORT and not self.known(low):
-                return whole.lower().replace(low, _SHORT[low])
+        if raw.isascii() and raw.isalpha():
+            if (full := _short().get(low)) is not None and not self.known(low):
+                return whole.lower().replace(low, full)
             if len(low) > 3 and re.search(r"(.)\1", low) and not self.known(low):
-                return self.decode(low)
+                word = self.decode(low)
+                return whole.lower().replace(low, word) if self.known(word) else whole.lower()
             return whole.lower()
-        if not re.search("[a-zA-Z]", raw) or _FORMULA.match(raw) or re.fullmatch(r"[A-Za-z]-?\d+[a-z]?|\d+(?:\.\d+)?(?:e-?\d+)?[%a-zA-Z]{0,3}|[a-zA-Z]+[-'’][a-zA-Z]+(?:[-'’][a-zA-Z]+)*", raw):
+        if not re.search("[a-zA-Z]", raw) or _FORMULA.match(raw) or _LABEL.fullmatch(raw) or ((m := _NUMBER.fullmatch(raw)) and (not m.group(1) or m.group(1) in lexicon.UNITS)):
             return whole.lower()
         tail = whole[len(whole.rstrip(".!'`~^-")) :]
         full = whole[: len(whole) - len(tail)] if "!" in whole[:-1] else raw
@@ -316,126 +416,64 @@ class CharModel:
         return f"{word}{'!' if '!' in tail else ''}" if self.known(word) else low
 
 
-# ---- scoring --------------------------------------------------------------------------------------------------------
-
-_CUES = PatternSet([p for _, _, p in lexicon.CUES])
-_HARMLESS = re.compile("|".join(lexicon.HARMLESS))
-_HARMLESS_WORDS = re.compile(r"idiot|fool|moron|imbecile|clown|loser|failure|bastard|sex|\brat|abusive")
-
-
-def cue_scores(restored: str) -> dict[str, float]:
-    """Noisy-or of the cues per category, for one restored passage."""
-    text = restored.replace('"', "")
-    found = _CUES.search(text)
-    if found and _HARMLESS_WORDS.search(text):
-        found = _CUES.search(_HARMLESS.sub(" ", text))
-    miss: dict[str, float] = {}
-    for i in found:
-        category, weight, _ = lexicon.CUES[i]
-        miss[category] = miss.get(category, 1.0) * (1 - weight)
-    return {c: 1 - m for c, m in miss.items()}
-
-
-def _features(restored: str, memo: dict[str, int]) -> list[int]:
-    """Hashed words and word pairs of a passage."""
-    words = _WORD.findall(restored)
-    found = set()
-    before = ""
-    for w in words:
-        for gram in (w, f"{before} {w}"):
-            at = memo.get(gram)
-            if at is None:
-                if len(memo) > 500_000:
-                    memo.clear()
-                at = memo[gram] = zlib.crc32(gram.encode()) % FEATURES
-            found.add(at)
-        before = w
-    return sorted(found)
+def _short() -> dict[str, str]:
+    """Listed insults with one letter left out."""
+    if not _SHORT:
+        for name, least in (("insult", 5), ("weak", 6), ("scorn", 6)):
+            for w in lexicon.CLASSES[name]["en"].split():
+                if w.isalpha() and len(w) >= least:
+                    _SHORT.update({w[:i] + w[i + 1 :]: w for i in range(len(w))})
+        for w in _SHORT.keys() & set(scorer.listed_words()):
+            del _SHORT[w]
+    return _SHORT
 
 
-@dataclass
-class PassageModel:
-    """Logistic regression over word n-grams of restored passages, from the labelled examples and a background sample."""
+_SHORT: dict[str, str] = {}
 
-    weights: np.ndarray
-    bias: float
-    telling: frozenset[str] = frozenset()
-    _memo: dict[str, int] = field(default_factory=dict)
 
-    @classmethod
-    def fit(cls, examples: list[tuple[str, bool]], background: list[str], rounds: int = 300) -> PassageModel:
-        memo: dict[str, int] = {}
-        data = [(_features(t, memo), float(y), 1.0) for t, y in examples] + [(_features(t, memo), 0.0, 0.5) for t in background]
-        if not any(y for _, y, _ in data):
-            return cls(np.zeros(FEATURES), -6.0)
-        x = np.zeros((len(data), FEATURES), dtype=np.float32)
-        for i, (f, _, _) in enumerate(data):
-            x[i, f] = 1 / math.sqrt(max(1, len(f)))
-        y = np.array([d[1] for d in data], dtype=np.float32)
-        sample = np.array([d[2] for d in data], dtype=np.float32)
-        sample *= np.where(y == 1, 0.5 / sample[y == 1].sum(), 0.5 / max(sample[y == 0].sum(), 1e-9))
-        seen = np.flatnonzero(x.any(axis=0))
-        x = np.ascontiguousarray(x[:, seen])
-        w, b, velocity, vb = np.zeros(len(seen), dtype=np.float32), -1.0, np.zeros(len(seen), dtype=np.float32), 0.0
-        for _ in range(rounds):
-            p = 1 / (1 + np.exp(-(x @ w + np.float32(b))))
-            g = sample * (p - y)
-            velocity = (0.9 * velocity - 20 * (g @ x + 2e-4 * w)).astype(np.float32)
-            vb = 0.9 * vb - 2 * g.sum()
-            w, b = w + velocity, float(b + vb)
-        weights = np.zeros(FEATURES)
-        weights[seen] = w
-        words = {g for t, good in examples if good for g in _WORD.findall(t)}
-        bar = 0.1 * weights.max()
-        return cls(weights, b, frozenset(g for g in words if weights[zlib.crc32(g.encode()) % FEATURES] > bar))
-
-    def score(self, restored: str) -> float:
-        """Probability that a passage is a case; 0 without looking further if no word of it ever spoke for one."""
-        if self.telling.isdisjoint(_WORD.findall(restored)):
-            return 0.0
-        f = _features(restored, self._memo)
-        if len(f) < 3:
-            return 0.0
-        return 1 / (1 + math.exp(-float(self.weights[f].sum()) / math.sqrt(len(f)) - self.bias))
+# ---- scoring --------------------------------------------------------------------------------------------------------
 
 
 @dataclass
 class Moderator:
     chars: CharModel
-    passage: PassageModel
+    scorer: scorer.Scorer
+    _quiet: set[str] = field(default_factory=set)
+
+    def __getstate__(self):
+        return {**self.__dict__, "_quiet": set()}
 
     @classmethod
-    def fit(cls, documents: DataFrame, examples: DataFrame, background: int = BACKGROUND) -> Moderator:
-        """Train on the documents (character model: counts over all of them; background: a bounded sample) and examples."""
-        rows = [(r["snippet"], r["label"]) for r in examples.filter(F.col("snippet").isNotNull() & F.col("label").isNotNull()).orderBy("example_id").collect()]
-        lists = [*lexicon.STRONG, *lexicon.WEAK, *lexicon.SCORN, *(w for g in lexicon.GROUPS.split("|") for w in g.split())]
-        cue_words = [w for _, _, p in lexicon.CUES for w in re.findall(r"[a-z]{4,}", re.sub(r"\\[a-zA-Z]", " ", p))]
-        example_words = [w for t, label in rows if label != "none" for w in re.findall(r"[a-z]+", fold(t).lower()) if not t[:1].isdigit()]
-        chars = CharModel.fit(corpus_counts(documents), [*lists, *lists, *cue_words, *example_words])
-        sample = [r["text"] for r in documents.filter(F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id")).limit(background // 4).select("text").collect()]
-        sentences = [chars.restore(p) for t in sample for p in passages(t)][:background]
-        known = [(chars.restore(p), label != "none") for t, label in rows for p in passages(t)]
-        # A label that the cues and the nearest twin both contradict is taken for wrong and left out.
-        clean = [(t, y) for t, y in known if y or max(cue_scores(t).values(), default=0) < 0.9]
-        calm = [s for s in sentences if max(cue_scores(s).values(), default=0) < 0.5]
-        chars._memo.clear()
-        chars._tokens.clear()
-        chars._plain.clear()
-        return cls(chars, PassageModel.fit(clean, calm))
+    def fit(cls, documents: DataFrame, examples: DataFrame) -> Moderator:
+        """Train on counts over all documents, on the labelled examples (a fixed table) and on the frames."""
+        rows = [(r["snippet"], r["label"]) for r in examples.filter(F.col("snippet").isNotNull() & F.col("label").isin(*scorer.CATEGORIES)).orderBy("example_id").collect()]
+        plain = [w for t, label in rows if label != "none" for p in passages(t) for w in re.findall(r"[a-z]+", p.lower()) if len(w) > 2]
+        chars = CharModel.fit(corpus_counts(documents), scorer.listed_words(), plain)
+        known = [(chars.restore(p), label) for t, label in rows for p in passages(t)]
+        return cls(chars, scorer.Scorer.fit(known, chars.common, chars.frequent))
+
+    def quiet(self, passage: str) -> bool:
+        """Whether no token of a passage is disguised or evidence, so that its score is that of no evidence.
+
+        Holds for passages without letters spread by separators; quiet tokens are remembered.
+        """
+        quiet = self._quiet
+        for t in passage.split():
+            if t not in quiet:
+                if self.chars.restore(t) != t.lower() or any(map(self.scorer.speaks, scorer.words_of(t.lower()))):
+                    return False
+                if len(quiet) > 500_000:
+                    quiet.clear()
+                quiet.add(t)
+        return True
 
     def judge(self, passage: str) -> tuple[float, str]:
-        """Score and category of one passage: cues and classifier over the restored and over the plain text."""
-        best, kind = 0.0, "none"
-        for text in dict.fromkeys((self.chars.restore(passage), passage.lower())):
-            cues = cue_scores(text)
-            learned = self.passage.score(text)
-            top = max(cues, key=cues.get, default=None)
-            lexical = cues[top] if top else 0.0
-            # The classifier alone must be almost sure; beside a cue it only adds.
-            score = max(lexical, 0.0 if learned < 0.97 else learned * 0.9 if not _HARMLESS.search(text) else 0.0)
-            if score > best:
-                best, kind = score, top or "abusive"
-        return best, kind
+        """Score and category of one passage: the greater of the restored and the plain text."""
+        if self.quiet(passage) and not _SINGLE.search(passage):
+            return self.scorer.score("")
+        restored, plain = self.chars.restore(passage), passage.lower()
+        best = self.scorer.score(restored)
+        return best if restored == plain else max(best, self.scorer.score(plain))
 
 
 SCORE_SCHEMA = "doc_id long, source string, score double, category string, n_passages int, n_flagged int, worst string"
@@ -444,8 +482,9 @@ SCORE_SCHEMA = "doc_id long, source string, score double, category string, n_pas
 def score_documents(documents: DataFrame, moderator: Moderator, threshold: float = THRESHOLD) -> DataFrame:
     """Score of every document: that of its worst passage, with category, counts and the passage itself.
 
-    Every passage of the whole text is restored and scored, also inside quotations. Null and blank texts score 0 with
-    category none. A document delivered twice is scored twice.
+    Every passage of the whole text is restored and scored, also inside quotations. Documents whose worst score is
+    below the threshold have category none and no worst passage; null and blank texts score 0. A document delivered
+    twice is scored twice.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,7 +498,8 @@ def score_documents(documents: DataFrame, moderator: Moderator, threshold: float
                     flagged += s >= threshold
                     if s > score:
                         score, kind, worst = s, k, p
-                rows.append((score, kind, len(parts), flagged, worst[:500] if worst else None))
+                hit = score >= threshold
+                rows.append((score, kind if hit else "none", len(parts), flagged, worst if hit else None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             types = [pa.float64(), pa.string(), pa.int32(), pa.int32(), pa.string()]
             yield pa.RecordBatch.from_arrays(

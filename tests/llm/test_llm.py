@@ -2,6 +2,7 @@
 
 import math
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kelvinlake.llm import lexicon, literals, mixing, moderation, nearest, packing, queries, tokens
+from kelvinlake.llm import mixing, moderation, nearest, packing, queries, tokens
 
 NAN, INF = float("nan"), float("inf")
 
@@ -146,7 +147,7 @@ def moderator(spark, sf_dir):
 
 @pytest.mark.parametrize(
     ("noisy", "plain"),
-    [("di$gu57!ng", "disgusting"), ("m**n*ng", "moaning"), ("i-d-i-o-t", "idiot"), ("moronnn", "moron"), ("assholle", "asshole"), ("pr1ck", "prick"), ("imb​ecile", "imbecile"), ("brаіnlеss", "brainless"), ("f*ck*ng", "fucking"), ("s-h-o-r-t", "short"), ("s h i f t", "shift"), ("useful", "useful"), ("Mg3Sb2", "mg3sb2"), ("K-6470", "k-6470"), ("3-omega", "3-omega")],
+    [("di$gu57!ng", "disgusting"), ("m**n*ng", "moaning"), ("i-d-i-o-t", "idiot"), ("moronnn", "moron"), ("assholle", "asshole"), ("pr1ck", "prick"), ("imb​ecile", "imbecile"), ("brаіnlеss", "brainless"), ("f*ck*ng", "fucking"), ("s-h-o-r-t", "short"), ("s h i f t", "shift"), ("B1TCH", "bitch"), ("SH1T", "shit"), ("5hit", "shit"), ("f- u- c- k", "fuck"), ("useful", "useful"), ("12mm", "12mm"), ("CoSb3", "cosb3"), ("Mg3Sb2", "mg3sb2"), ("K-6470", "k-6470"), ("3-omega", "3-omega")],
 )
 def test_restoring(moderator, noisy, plain):
     assert moderator.chars.restore(moderation.fold(noisy)) == plain
@@ -194,16 +195,45 @@ def test_scores_and_rates(spark, moderator):
     assert moderation.score_documents(df.limit(0), moderator).count() == 0
 
 
-def test_literals_are_required():
-    import re
-
-    for _, _, pattern in lexicon.CUES:
-        for branch in ("you are an idiot", "kill yourself", "women are vermin", "send nudes", "go to hell", "callate", "halt die fresse", "she had sex on the bench", "typical women"):
-            if re.search(pattern, branch):
-                assert any(x in branch for x in literals.required(pattern))
-    assert literals.required("a(?:bc|de)+f?") == {"bc", "de"} and literals.required("x*") == set()
-    s = literals.PatternSet([r"\bfoo\b", r"ba(?:r|z)", r"\d+"])
-    assert s.search("food bar 7") == [1, 2]
+def test_fresh_sentences(moderator):
+    """Sentences written before the scorer was; odd pairs were never looked at while it was built."""
+    rows = [line.split("\t") for line in (Path(__file__).parent / "fresh_sentences.tsv").read_text().splitlines()]
+    held = [(label, text) for i, (label, text) in enumerate(rows) if (i // 2) % 2]
+    for part in (rows, held):
+        hits = [(label != "none", max(moderator.judge(p)[0] for p in moderation.passages(text)) >= moderation.THRESHOLD) for label, text in part]
+        right = sum(case and hit for case, hit in hits)
+        assert right / sum(case for case, _ in hits) >= 0.9 and right / sum(hit for _, hit in hits) >= 0.9
+
+
+def test_decoding_is_exact(moderator):
+    """Viterbi against all strings the lattice allows, and tokens longer than any bound."""
+    chars = moderator.chars
+    log = chars.log_next()
+    for token in ("m*r", "a5", "x**", "1d10t", "b!t"):
+        lattice = chars.lattice(token)
+        paths = {("", 0.0)}
+        for options, drop in lattice:
+            paths = {(t + x, c - cost) for t, c in paths for x, cost in options} | {(t, c - cost - moderation.REPEAT_COST) for t, c in paths for x, cost in options if t[-1:] == x} | ({(t, c - drop) for t, c in paths} if drop is not None else set())
+        best = max(c + chars.log_word(t) for t, c in paths if t)
+        assert abs(chars._free(lattice)[0] - best) < 1e-9
+    assert log.shape == (27**3, 27)
+    long = "-".join("abcdefghij" * 12)
+    assert len(chars._free(chars.lattice(long))[1]) == 120
+    assert chars.restore("y-o-u " + "x" * 300_000)[:3] == "you"
+
+
+def test_quiet_passages_score_as_judged(spark, sf_dir, moderator):
+    """The short way for passages without evidence gives what the long way gives."""
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
+        for p in moderation.passages(r["text"]):
+            if moderator.quiet(p) and not moderation._SINGLE.search(p):
+                assert moderator.chars.restore(p) == p.lower() and moderator.scorer.score(p.lower()) == moderator.scorer.score("")
+
+
+def test_worst_passage_is_whole(spark, moderator):
+    text = "You are a worthless moron " + "and everybody here knows it " * 60 + "at last."
+    row = moderation.score_documents(spark.createDataFrame([(1, "a", text)], "doc_id long, source string, text string"), moderator).first()
+    assert row["worst"] == text and row["category"] == "abusive"
 
 
 def test_reports_run(spark, sf_dir):
