@@ -49,12 +49,13 @@ def _targets(spark: SparkSession, sf_dir: str) -> list[mixing.Target]:
 
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document is used in the mixture."""
-    return mixing.mix(table(spark, sf_dir, "documents"), _targets(spark, sf_dir))
+    return mixing.mix(table(spark, sf_dir, "documents"), _targets(spark, sf_dir)).drop("posterior")
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The share of tokens each source reaches, beside its target."""
-    return mixing.shares(p8_mixture(spark, sf_dir), _targets(spark, sf_dir))
+    """The share of tokens each source reaches, by label and by soft domain, beside its target."""
+    targets = _targets(spark, sf_dir)
+    return mixing.shares(mixing.mix(table(spark, sf_dir, "documents"), targets), targets)
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
