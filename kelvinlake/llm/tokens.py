@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-tokenisation pattern that belongs to these ranks.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Texts longer than this are encoded in parts cut at white space, which bounds the memory of one call.
+#: Texts longer than this are encoded in parts, which bounds the memory of one call.
 PART_CHARS = 200_000
+#: A single space between two letters or digits always begins a new part of the pattern, so cutting before it changes no token.
+_CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
 def load_encoding(path: str = RANKS_PATH):
@@ -30,14 +33,10 @@ def count_tokens(encoding, text: str | None) -> int:
     if not text:
         return 0
     total, at = 0, 0
-    while at < len(text):
-        end = min(len(text), at + PART_CHARS)
-        if end < len(text):
-            cut = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end))
-            end = cut if cut > at else end
-        total += len(encoding.encode_ordinary(text[at:end]))
-        at = end
-    return total
+    while len(text) - at > PART_CHARS and (cut := _CUT.search(text, at + PART_CHARS)):
+        total += len(encoding.encode_ordinary(text[at : cut.start()]))
+        at = cut.start()
+    return total + len(encoding.encode_ordinary(text[at:]))
 
 
 def token_counts(df: DataFrame, text_col: str, keep: list[str], ranks_path: str = RANKS_PATH) -> DataFrame:
