@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def pchip_slopes(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
     """Monotone slopes at the knots.
 
     Inside, the weighted harmonic mean of the neighbouring secants (0 where they change sign); at the ends a clamped
-    one-sided estimate; then slopes are scaled back, from left to right, where they leave the circle of radius 3.
+    one-sided estimate, or the near secant where the far one is zero or of the other sign; then slopes are scaled back, from left to right, where they leave the circle of radius 3.
     """
     h, d = np.diff(xs), np.diff(ys) / np.diff(xs)
     if len(d) == 1:
@@ -35,9 +37,7 @@ def pchip_slopes(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         m[1:-1] = np.where(same, (w1 + w2) / (w1 / left + w2 / right), 0.0)
 
     def end(d0: float, d1: float) -> float:
-        if d0 == 0:
-            return 0.0
-        if d0 * d1 < 0:
+        if d0 * d1 <= 0:
             return d0
         third = (2 * d0 + d1) / 3
         return float(np.clip(third, min(0, 2 * d0), max(0, 2 * d0)))
@@ -100,27 +100,36 @@ def _compare(ts: np.ndarray, s, sigma, kappa, reported) -> tuple[float, float]:
 def crosscheck_pchip(points: DataFrame, min_overlap: int = 3, step: float = GRID_STEP) -> DataFrame:
     """Compare reported with computed zT on a grid over the common range of the four curves of a sample.
 
-    Curves are interpolated monotonically, whose slope scaling is sequential and hence runs in pandas, one curve set at a
-    time after a map-side reduction to distinct temperatures. Too few grid points give a row with nulls and
+    Curves are interpolated monotonically, whose slope scaling is sequential and hence runs in Python over Arrow batches of
+    whole curves, after a reduction to distinct temperatures. Too few grid points give a row with nulls and
     the flag for insufficient interpolation; samples without all four curves give none.
     """
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        sample, paper = key
-        curve = {r: g.sort_values("t") for r, g in pdf.groupby("role")}
-        columns = [c.split()[0] for c in CHECK_SCHEMA.split(", ")]
-        if len(curve) < len(ROLES) or any(len(g) < 2 for g in curve.values()):
-            return pd.DataFrame(columns=columns)
-        low, high = max(g["t"].iloc[0] for g in curve.values()), min(g["t"].iloc[-1] for g in curve.values())
+
+    def check(curve: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple:
+        low, high = max(t[0] for t, _ in curve.values()), min(t[-1] for t, _ in curve.values())
         n = int(np.floor((high - low) / step)) + 1 if high >= low else 0
         if n < min_overlap:
-            return pd.DataFrame([[sample, paper, n, None, None, False, BIT["INTERP_INSUFFICIENT"]]], columns=columns)
+            return n, None, None, False, BIT["INTERP_INSUFFICIENT"]
         grid = np.minimum(low + step * np.arange(n), high)
-        values = {r: interpolate(g["t"], g["y"], grid) for r, g in curve.items()}
-        mean, largest = _compare(grid, *(values[r] for r in ROLES))
+        mean, largest = _compare(grid, *(interpolate(*curve[r], grid) for r in ROLES))
         good = mean <= ZT_TOLERANCE
-        return pd.DataFrame([[sample, paper, n, mean, largest, good, 0 if good else BIT["ZT_CROSSCHECK_FAIL"]]], columns=columns)
-
-    return curve_points(points).groupBy("sample_id", "paper_id").applyInPandas(run, CHECK_SCHEMA)
+        return n, mean, largest, good, 0 if good else BIT["ZT_CROSSCHECK_FAIL"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.bool_(), pa.int32()]
+        for batch in batches:
+            lists = {r: batch.column(r) for r in ROLES}
+            points = {r: (c.values.field("t").to_numpy(zero_copy_only=False), c.values.field("y").to_numpy(zero_copy_only=False), c.offsets.to_numpy()) for r, c in lists.items()}
+            rows = []
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                curve = {r: (t[o[i] : o[i + 1]], y[o[i] : o[i + 1]]) for r, (t, y, o) in points.items()}
+                rows.append((*key, *check(curve)))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in CHECK_SCHEMA.split(", ")])
+
+    of = lambda r: F.array_sort(F.collect_list(F.when(F.col("role") == r, F.struct("t", "y")))).alias(r)
+    curves = curve_points(points).groupBy("sample_id", "paper_id").agg(*(of(r) for r in ROLES)).filter(" AND ".join(f"size({r}) >= 2" for r in ROLES))
+    return curves.mapInArrow(run, CHECK_SCHEMA)
 
 
 def crosscheck_linear(points: DataFrame, min_overlap: int = 3, step: float = GRID_STEP) -> DataFrame:

@@ -716,7 +716,7 @@ _CSV = """SELECT composition, coalesce(sampleid, 'unknown') AS sampleid, tempera
         SELECT s IS NOT NULL AND sigma IS NOT NULL AND kappa IS NOT NULL AS complete, CASE WHEN t > 0 AND kappa > 0 AND sigma > 0 AND abs(s) <= 5e-2 AND sigma <= 1e8 AND kappa <= 5000 THEN s*s*sigma*CAST(t AS DOUBLE)/kappa END AS z FROM ({_CSV})))"""
 )
 def csv_state_report(spark, sf_dir):
-    g = table(spark, sf_dir, "interpolated_states").select("row_id", "composition", "sampleid", "temperature", "seebeck", "electrical_conductivity", "thermal_conductivity")
+    g = table(spark, sf_dir, "interpolated_states").select("row_id", "composition", "sampleid", "temperature", "seebeck", F.col("electrical_conductivity").alias("electrical conductivity"), F.col("thermal_conductivity").alias("thermal conductivity"))
     return states.csv_report(tabular.csv_states(g, "row_id")).withColumn("mean_zt", F.round("mean_zt", 9))
 
 
@@ -781,9 +781,37 @@ def zt_crosscheck_linear(spark, sf_dir):
     return out.select("sample_id", "paper_id", "n_grid", F.round("mean_error", 6).alias("mean_error"), "passed", "anomaly_flags")
 
 
-@query()
+_END = "CASE WHEN {near} * {far} <= 0 THEN {near} ELSE greatest(least(0e0, 2 * {near}), least(greatest(0e0, 2 * {near}), (2 * {near} + {far}) / 3)) END"
+_SCALE = "CASE WHEN {d} = 0 THEN 0e0 WHEN sqrt(pow({l} / {d}, 2) + pow({r} / {d}, 2)) > 3 THEN 3 * {m} / sqrt(pow({l} / {d}, 2) + pow({r} / {d}, 2)) ELSE {m} END"
+
+
+def _scaled(left: str, right: str, m: str) -> str:
+    return _SCALE.format(d="d", l=left, r=right, m=m)
+
+
+@query(
+    f"""WITH RECURSIVE k AS (SELECT sample_id, paper_id, {_ROLE} AS role, x_si AS t, avg(y_si) AS y FROM fact_measurements WHERE property_id_x = 1 AND property_id_y IN (2, 3, 4, 16) AND x_si > 0 AND isfinite(x_si) AND isfinite(y_si) GROUP BY ALL),
+     span AS (SELECT sample_id, paper_id, role, min(t) AS a, max(t) AS b, count(*) AS n FROM k GROUP BY ALL HAVING count(*) >= 2),
+     c AS (SELECT sample_id, paper_id, max(a) AS low, min(b) AS high FROM span GROUP BY ALL HAVING count(*) = 4),
+     n AS (SELECT *, CAST(CASE WHEN high >= low THEN floor((high - low) / 10) + 1 ELSE 0 END AS INTEGER) AS n_grid FROM c),
+     s1 AS (SELECT k.*, row_number() OVER w - 1 AS i, lead(t) OVER w AS t2, lead(y) OVER w AS y2, lead(t) OVER w - t AS h, (lead(y) OVER w - y) / (lead(t) OVER w - t) AS d FROM k JOIN c USING (sample_id, paper_id) WINDOW w AS (PARTITION BY sample_id, paper_id, role ORDER BY t)),
+     s2 AS (SELECT *, lag(d) OVER w AS d0, lag(h) OVER w AS h0, lead(d) OVER w AS dn, lag(d, 2) OVER w AS dl FROM s1 WINDOW w AS (PARTITION BY sample_id, paper_id, role ORDER BY i)),
+     s3 AS (SELECT *, CASE WHEN i = 0 AND dn IS NULL THEN d WHEN i = 0 THEN {_END.format(near="d", far="dn")} WHEN d IS NULL AND dl IS NULL THEN d0 WHEN d IS NULL THEN {_END.format(near="d0", far="dl")}
+            WHEN d0 * d > 0 THEN (3 * h + 3 * h0) / ((2 * h + h0) / d0 + (h + 2 * h0) / d) ELSE 0e0 END AS m FROM s2),
+     s4 AS (SELECT *, lead(m) OVER (PARTITION BY sample_id, paper_id, role ORDER BY i) AS mr FROM s3),
+     r AS (SELECT sample_id, paper_id, role, i, {_scaled("m", "mr", "m")} AS ml, {_scaled("m", "mr", "mr")} AS carry FROM s4 WHERE i = 0
+           UNION ALL SELECT s4.sample_id, s4.paper_id, s4.role, s4.i, {_scaled("carry", "mr", "carry")}, {_scaled("carry", "mr", "mr")} FROM r JOIN s4 ON s4.sample_id = r.sample_id AND s4.paper_id = r.paper_id AND s4.role = r.role AND s4.i = r.i + 1 WHERE s4.d IS NOT NULL),
+     f AS (SELECT s4.*, r.ml, coalesce(r2.ml, r.carry) AS mf FROM s4 JOIN r USING (sample_id, paper_id, role, i) LEFT JOIN r r2 ON r2.sample_id = s4.sample_id AND r2.paper_id = s4.paper_id AND r2.role = s4.role AND r2.i = s4.i + 1),
+     g AS (SELECT sample_id, paper_id, n_grid, least(low + i * 1e1, high) AS t FROM (SELECT *, unnest(range(0, n_grid)) AS i FROM n WHERE n_grid >= 3)),
+     u AS (SELECT g.sample_id, g.paper_id, g.t, role, (g.t - f.t) / h AS u, y, y2 - y AS rise, ml * h AS a, mf * h AS b FROM g JOIN f ON f.sample_id = g.sample_id AND f.paper_id = g.paper_id AND f.t <= g.t AND (f.t2 > g.t OR (f.t2 = g.t AND f.dn IS NULL))),
+     v AS (SELECT *, y + u * (a + u * ((3 * rise - 2 * a - b) + u * (a + b - 2 * rise))) AS v FROM u),
+     w AS (SELECT sample_id, paper_id, t, max(v) FILTER (role = 's') AS s, max(v) FILTER (role = 'sigma') AS sigma, max(v) FILTER (role = 'kappa') AS kappa, max(v) FILTER (role = 'zt') AS zt FROM v GROUP BY ALL),
+     e AS (SELECT sample_id, paper_id, CAST(count(*) AS INTEGER) AS n_grid, coalesce(sum(CASE WHEN kappa <> 0 THEN abs(s*s*sigma*t/kappa - zt) / greatest(abs(zt), 1e-6) END), 0) / count(*) AS me FROM w GROUP BY ALL)
+     SELECT sample_id, paper_id, n_grid, round(me, 6) AS mean_error, me <= 1e-1 AS passed, CAST(CASE WHEN me <= 1e-1 THEN 0 ELSE 2 END AS INTEGER) AS anomaly_flags FROM e UNION ALL SELECT sample_id, paper_id, n_grid, NULL, false, 32 FROM n WHERE n_grid < 3"""
+)
 def zt_crosscheck_pchip(spark, sf_dir):
-    return curves.crosscheck_pchip(temperature_facts(spark, sf_dir))
+    out = curves.crosscheck_pchip(temperature_facts(spark, sf_dir))
+    return out.select("sample_id", "paper_id", "n_grid", F.round("mean_error", 6).alias("mean_error"), "passed", "anomaly_flags")
 
 
 @query()

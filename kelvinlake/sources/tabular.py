@@ -13,14 +13,15 @@ from pyspark.sql import types as T
 from kelvinlake.functions import text
 from kelvinlake.operators import states
 
-#: Exact column names accepted per quantity, in this order.
+#: Exact column names accepted per quantity; the first one present is taken.
 ALIASES = {
-    "s": ("S", "S_si", "seebeck", "Seebeck", "seebeck_coefficient"),
-    "sigma": ("sigma", "sigma_si", "electrical_conductivity", "conductivity"),
-    "kappa": ("kappa", "kappa_si", "thermal_conductivity", "k"),
-    "t": ("T", "T_bin_K", "t_bin_k", "temperature", "Temperature"),
-    "zt": ("ZT_reported", "zT_reported", "zt_reported", "ZT", "zT"),
-    "rho": ("rho", "rho_si", "resistivity", "electrical_resistivity"),
+    "s": ("seebeck", "S", "seebeck_coefficient", "Seebeck", "seebeck_uV_K", "S_V_K"),
+    "sigma": ("sigma", "electrical_conductivity", "conductivity", "sigma_S_m", "elec_cond"),
+    "kappa": ("kappa", "thermal_conductivity", "kappa_total", "kappa_W_mK", "therm_cond"),
+    "t": ("T", "temperature", "temp", "T_K", "Temperature"),
+    "zt": ("ZT", "zt", "zT", "figure_of_merit", "ZT_reported", "zT_reported", "ZT_dimensionless"),
+    "rho": ("rho", "resistivity", "electrical_resistivity", "rho_ohm_m", "rho_Ohm_m", "elec_resistivity"),
+    # Names of this library's own tables.
     "composition": ("composition", "material", "formula", "compound"),
     "paper": ("doi", "paper_id", "ref_id", "reference_id", "paperid"),
 }
@@ -67,11 +68,11 @@ def csv_roles(header: list[str]) -> dict[str, list[str]]:
             roles["t"].append(name)
         elif "seebeck" in h or h in ("s", "tep", "thermopower"):
             roles["s"].append(name)
-        elif h.replace("_", " ") in ("electrical conductivity", "conductance"):
+        elif h in ("electrical conductivity", "conductance"):
             roles["sigma"].append(name)
-        elif "resistivity" in h or "ρ" in h or "resistyvity" in h:
+        elif "resistivity" in h or h in ("ρ", "resistyvity"):
             roles["rho"].append(name)
-        elif h.replace("_", " ") in ("thermal conductivity", "total thermal conductivity", "kappa"):
+        elif h in ("thermal conductivity", "total thermal conductivity", "kappa"):
             roles["kappa"].append(name)
     return roles
 

@@ -79,6 +79,9 @@ def test_tables(spark, tmp_path):
     df = tabular.load(spark, f"{tmp_path}/t.csv").withColumn("row_no", F.monotonically_increasing_id())
     out = {r["t"]: r for r in tabular.csv_states(df, "row_no").collect()}
     assert out[301]["s"] == 2e-4 and out[301]["sigma"] == 50.0 and out[301]["kappa"] == 1.5 and set(out) == {301}
+    assert tabular.csv_roles(["electrical_conductivity", "Electrical Conductivity", "ρ", "ρ of x"]) == {"t": [], "s": [], "sigma": ["Electrical Conductivity"], "rho": ["ρ"], "kappa": []}
+    both = spark.createDataFrame([(1.0, 2.0, 3.0)], "S double, seebeck double, sigma_S_m double")
+    assert (tabular.resolve(both, "s"), tabular.resolve(both, "sigma"), tabular.resolve(both, "kappa")) == ("seebeck", "sigma_S_m", None)
     with pytest.raises(ValueError, match="kind"):
         tabular.load(spark, "x.xls")
     wide = spark.createDataFrame([("1e-4", 1.0, 2.0, 300, "z")], "S string, sigma double, kappa double, temperature int, note string")

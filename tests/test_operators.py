@@ -136,6 +136,7 @@ def test_pchip():
     assert np.allclose(curves.interpolate(x, y, x), y)
     assert np.allclose(curves.interpolate([0, 1, 2], [1, 3, 5], [0.5, 1.5]), [2, 4])
     assert np.allclose(curves.interpolate([0, 1], [0, 2], [0.25]), [0.5])
+    assert curves.pchip_slopes(np.array([0.0, 1, 2]), np.array([0.0, 1, 1]))[0] == 1.0  # the far secant is zero: the near one counts
     dense = curves.interpolate(x, y, np.linspace(0, 4, 200))
     assert np.all(np.diff(dense) >= -1e-12)
     grid, _ = curves.to_grid([200, 400, 600], [1, 2, 3], np.arange(100, 701, 100))
