@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NODE_SCHEMA = (
     "doc_id long, node_id int, parent_id int, label string, ordinal int, kind string, scalar string, "
-    "path string, owner_id int, positions array<int>"
+    "path string, owner_id int"
 )
 _NODE_ARROW = pa.schema(
     [
@@ -24,7 +24,6 @@ _NODE_ARROW = pa.schema(
         ("scalar", pa.string()),
         ("path", pa.string()),
         ("owner_id", pa.int32()),
-        ("positions", pa.list_(pa.int32())),
     ]
 )
 #: Arrow batches are flushed at this many nodes, so a long document does not grow one batch without end.
@@ -79,26 +78,25 @@ def walk(document: dict, array_paths: frozenset[str]) -> Iterator[tuple]:
     """Nodes of one document in pre-order, with an explicit stack.
 
     ``array_paths`` are places where an array is usual: a lone object there becomes an array of one. The path of
-    an array's elements ends in ``[]``. ``owner_id`` is the nearest object held in an array (the root, 0, if none)
-    and ``positions`` the places in all arrays around a node.
+    an array's elements ends in ``[]``. ``owner_id`` is the nearest object held in an array (the root, 0, if none).
     """
     counter = 0
-    # value, parent, label, ordinal, path, owner, positions
-    stack = [(document, -1, None, -1, "", 0, [])]
+    # value, parent, label, ordinal, path, owner
+    stack = [(document, -1, None, -1, "", 0)]
     while stack:
-        value, parent, label, ordinal, path, owner, positions = stack.pop()
+        value, parent, label, ordinal, path, owner = stack.pop()
         if isinstance(value, dict) and path in array_paths:
             value = [value]
         node = counter
         counter += 1
         kind = kind_of(value)
-        yield (node, parent, label, ordinal, kind, scalar_text(value) if kind not in ("object", "array") else None, path, owner, positions)
+        yield (node, parent, label, ordinal, kind, scalar_text(value) if kind not in ("object", "array") else None, path, owner)
         if kind == "object":
             held = node if path.endswith("[]") else owner
-            children = [(v, node, k, -1, f"{path}.{k}" if path else k, held, positions) for k, v in value.items()]
+            children = [(v, node, k, -1, f"{path}.{k}" if path else k, held) for k, v in value.items()]
             stack.extend(reversed(children))
         elif kind == "array":
-            children = [(v, node, None, i, f"{path}[]", owner, [*positions, i]) for i, v in enumerate(value)]
+            children = [(v, node, None, i, f"{path}[]", owner) for i, v in enumerate(value)]
             stack.extend(reversed(children))
 
 
@@ -106,10 +104,9 @@ def shred(df: DataFrame, id_col: str, json_col: str, array_paths: Sequence[str]
     """Shred the documents of ``json_col`` into an adjacency table, one row per JSON node.
 
     Columns: doc_id, node_id (pre-order, root 0), parent_id (-1 at the root), label (key in the parent object),
-    ordinal (place in the parent array, else -1), kind, scalar (text), path, owner_id, positions.
+    ordinal (place in the parent array, else -1), kind, scalar (text), path, owner_id.
 
-    ``keep`` prunes the table to object nodes of these element paths (column pruning for callers that need the
-    links only). Rows with a null id, and texts that hold no complete object, give no nodes. Keys repeated inside one
+    ``keep`` prunes the table to the object nodes of these element paths and their scalar children. Rows with a null id, and texts that hold no complete object, give no nodes. Keys repeated inside one
     object: the last one counts. Narrow: no shuffle, each document is walked where it is read.
     """
     arrays, wanted = frozenset(array_paths), frozenset(keep) if keep is not None else None
@@ -129,7 +126,7 @@ def shred(df: DataFrame, id_col: str, json_col: str, array_paths: Sequence[str]
                 if document is None or doc_id is None:
                     continue
                 for node in walk(document, arrays):
-                    if wanted is None or (node[4] == "object" and node[6] in wanted):
+                    if wanted is None or (node[6] in wanted if node[4] == "object" else node[4] != "array" and node[6].rpartition(".")[0] in wanted):
                         rows.append((doc_id, *node))
                 if len(rows) >= FLUSH_NODES:
                     yield flush()
@@ -140,26 +137,39 @@ def shred(df: DataFrame, id_col: str, json_col: str, array_paths: Sequence[str]
     return source.mapInArrow(run, NODE_SCHEMA)
 
 
-def place(nodes: DataFrame, level: int) -> Column:
-    """Position at a level of the arrays around a node, -1 where there is no such level."""
-    return F.coalesce(F.get(nodes["positions"], F.lit(level)), F.lit(-1)).cast("int")
+def entities(nodes: DataFrame, branches: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The entity tables of several branches as one: a row per object held in an array of one of the element paths.
 
+    ``branches`` maps an element path to the scalars wanted of it. Columns: doc_id, entity_id, branch, owner_id
+    (entity_id of the object one level up, 0 for the document), pos (place in its array), and a text column
+    ``v_<name>`` per scalar of any branch. Object nodes are joined with their scalar children on (doc_id, object) and pivoted,
+    as one aggregation by that key: the nodes of an object leave a task as one row, so what is shuffled
+    is entities, not nodes. A missing or null scalar is null.
+    """
+    paths = list(branches)
+    number = F.lit(None).cast("int")
+    for i, p in enumerate(paths):
+        number = F.when(F.col("path") == p, i).otherwise(number)
+    held = (F.col("kind") == "object") & F.col("path").isin(paths)
+    scalars = sorted({s for names in branches.values() for s in names})
+    leaf = F.col("path").isin([f"{p}.{s}" for p, names in branches.items() for s in names]) & ~F.col("kind").isin("object", "array")
+    keyed = nodes.filter(held | leaf).withColumns({"entity_id": F.when(held, F.col("node_id")).otherwise(F.col("parent_id")), "held": held})
+    whole = keyed.groupBy("doc_id", "entity_id").agg(
+        F.max(F.when(F.col("held"), number)).alias("number"),
+        F.max(F.when(F.col("held"), F.col("owner_id"))).alias("owner_id"),
+        F.max(F.when(F.col("held"), F.col("ordinal"))).alias("pos"),
+        *(F.max(F.when(~F.col("held") & (F.col("label") == s), F.col("scalar"))).alias(f"v_{s}") for s in scalars),
+    )
+    names = F.array(*(F.lit(p) for p in paths))
+    return whole.filter("number IS NOT NULL").select("doc_id", "entity_id", F.get(names, F.col("number")).alias("branch"), "owner_id", "pos", *(f"v_{s}" for s in scalars))
 
-def entities(nodes: DataFrame, branch: str, scalars: Sequence[str] = ()) -> DataFrame:
-    """The entity table of one branch: a row per object held in its arrays.
 
-    Columns: doc_id, entity_id, owner_id (entity_id of the object one level up, 0 for the document), outer_pos,
-    inner_pos, and a text column per name in ``scalars``. Object nodes are joined with their scalar children on
-    (doc_id, node) and pivoted; the scalar side is first reduced to one row per object, and without ``scalars``
-    the join is not made. A missing or null scalar is null; repeated documents stay repeated entities only if
-    their ids differ, since (doc_id, entity_id) is the key.
+def with_places(entity: DataFrame) -> DataFrame:
+    """Add outer_pos and inner_pos: the place of the outer object, found by a join with the owner, and that of an inner one in it, else -1.
+
+    ``entity`` must be a stored table, as it is read twice. Objects deeper than two arrays get the places of the last two.
     """
-    objects = nodes.filter((F.col("kind") == "object") & (F.col("path") == branch))
-    keys = objects.select("doc_id", F.col("node_id").alias("entity_id"), "owner_id", place(objects, 0).alias("outer_pos"), place(objects, 1).alias("inner_pos"))
-    if not scalars:
-        return keys
-    leaves = nodes.filter(F.col("path").isin([f"{branch}.{s}" for s in scalars]) & ~F.col("kind").isin("object", "array"))
-    wide = leaves.groupBy("doc_id", F.col("parent_id").alias("entity_id")).agg(
-        *(F.max(F.when(F.col("label") == s, F.col("scalar"))).alias(f"v_{s}") for s in scalars)
-    )
-    return keys.join(wide, ["doc_id", "entity_id"], "left")
+    owner = entity.select("doc_id", F.col("entity_id").alias("owner_id"), F.col("pos").alias("__owner_pos"))
+    inner = F.col("__owner_pos").isNotNull()
+    linked = entity.join(owner, ["doc_id", "owner_id"], "left")
+    return linked.select(*(F.col(c) for c in entity.columns), F.coalesce("__owner_pos", "pos").alias("outer_pos"), F.when(inner, F.col("pos")).otherwise(-1).alias("inner_pos"))

@@ -36,9 +36,11 @@ def _element_path(branch: str, branches: dict) -> str:
     return path
 
 
-def _nodes(df: DataFrame, id_col: str, json_col: str, branches: dict, keys_only: bool) -> DataFrame:
-    paths = [_element_path(b, branches) for b in branches]
-    return json_tree.shred(df, id_col, json_col, [p.removesuffix("[]") for p in paths], paths if keys_only else None)
+def _entities(df: DataFrame, id_col: str, json_col: str, branches: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Shred the documents and put the objects of the branches together from the adjacency table."""
+    paths = {_element_path(b, branches): names for b, names in branches.items()}
+    nodes = json_tree.shred(df, id_col, json_col, [p.removesuffix("[]") for p in paths], list(paths))
+    return json_tree.entities(nodes, paths)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,36 +50,29 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("dim_samples", "row_id", "sampleinfo_json", SAMPLE_BRANCHES),
         ("raw_files", "file_id", "payload", FILE_BRANCHES),
     ):
-        nodes = _nodes(table(spark, sf_dir, origin), id_col, json_col, branches, keys_only=True)
+        entity = written(_entities(table(spark, sf_dir, origin), id_col, json_col, branches).select("doc_id", "entity_id", "branch", "owner_id", "pos"), "entities")
         named = F.create_map(*(F.lit(x) for b in branches for x in (_element_path(b, branches), b)))
-        part = nodes.filter(F.col("kind") == "object").select(
-            F.lit(origin).alias("origin"),
-            F.col("doc_id").alias("parent_id"),
-            named[F.col("path")].alias("branch"),
-            json_tree.place(nodes, 0).alias("outer_pos"),
-            json_tree.place(nodes, 1).alias("inner_pos"),
-        )
+        part = json_tree.with_places(entity).select(F.lit(origin).alias("origin"), F.col("doc_id").alias("parent_id"), named[F.col("branch")].alias("branch"), "outer_pos", "inner_pos")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def p1_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity table of process conditions with their step, keeping both links."""
-    nodes = written(_nodes(table(spark, sf_dir, "dim_samples"), "row_id", "sampleinfo_json", SAMPLE_BRANCHES, keys_only=False), "nodes")
-    steps = json_tree.entities(nodes, _element_path("FabricationProcess.steps", SAMPLE_BRANCHES), ("name", "atmosphere"))
-    conditions = json_tree.entities(nodes, _element_path("FabricationProcess.steps.conditions", SAMPLE_BRANCHES), ("param", "value", "unit"))
-    step = steps.select("doc_id", F.col("entity_id").alias("owner_id"), F.col("v_name").alias("step_name"), F.col("v_atmosphere").alias("atmosphere"))
-    return conditions.join(step, ["doc_id", "owner_id"]).select(
-        F.col("doc_id").alias("row_id"), F.col("outer_pos").alias("step_pos"), F.col("inner_pos").alias("condition_pos"), "step_name", "atmosphere",
+    branches = {b: SAMPLE_BRANCHES[b] for b in ("FabricationProcess.steps", "FabricationProcess.steps.conditions")}
+    entity = written(_entities(table(spark, sf_dir, "dim_samples"), "row_id", "sampleinfo_json", branches), "entities")
+    outer, inner = (_element_path(b, branches) for b in branches)
+    step = entity.filter(F.col("branch") == outer).select("doc_id", F.col("entity_id").alias("owner_id"), F.col("pos").alias("step_pos"), F.col("v_name").alias("step_name"), F.col("v_atmosphere").alias("atmosphere"))
+    return entity.filter(F.col("branch") == inner).join(step, ["doc_id", "owner_id"]).select(
+        F.col("doc_id").alias("row_id"), "step_pos", F.col("pos").alias("condition_pos"), "step_name", "atmosphere",
         F.col("v_param").alias("param"), F.expr("try_cast(v_value AS double)").alias("value"), F.col("v_unit").alias("unit"),
     )
 
 
 def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity table of raw measurement records, one row per object in rawdata."""
-    nodes = written(_nodes(table(spark, sf_dir, "raw_files"), "file_id", "payload", FILE_BRANCHES, keys_only=False), "nodes")
-    e = json_tree.entities(nodes, "rawdata[]", FILE_BRANCHES["rawdata"])
-    return e.select(F.col("doc_id").alias("file_id"), F.col("outer_pos").alias("rec_pos"), *(F.expr(f"try_cast(v_{c} AS double)").alias(c) for c in FILE_BRANCHES["rawdata"]))
+    e = _entities(table(spark, sf_dir, "raw_files"), "file_id", "payload", {"rawdata": FILE_BRANCHES["rawdata"]})
+    return e.select(F.col("doc_id").alias("file_id"), F.col("pos").alias("rec_pos"), *(F.expr(f"try_cast(v_{c} AS double)").alias(c) for c in FILE_BRANCHES["rawdata"]))
 
 
 # ---- p3: attribute-value rows into a wide table ---------------------------------------------------------------------

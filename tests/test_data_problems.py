@@ -75,8 +75,9 @@ def test_shred_edge_cases(spark):
     df = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)] + [(None, "{}", "own")], "id long, j string, path string")
     nodes = json_tree.shred(df, "id", "j", ["a", "a[].b"])
     assert {r["doc_id"] for r in nodes.select("doc_id").collect()} == {7, 8}
-    inner = json_tree.entities(nodes, "a[].b[]", ["c"]).collect()
-    assert sorted((r["outer_pos"], r["inner_pos"], r["v_c"]) for r in inner) == [(0, 1, "é"), (2, 0, "2")]
+    both = written(json_tree.entities(nodes, {"a[]": [], "a[].b[]": ["c"]}), "entities")
+    placed = json_tree.with_places(both).collect()
+    assert sorted((r["branch"], r["outer_pos"], r["inner_pos"], r["v_c"]) for r in placed) == [("a[]", 0, -1, None), ("a[]", 2, -1, None), ("a[].b[]", 0, 1, "é"), ("a[].b[]", 2, 0, "2")]
     assert nodes.filter("path = 't'").first()["scalar"] == "x" * 200_000
     assert json_tree.shred(df.limit(0), "id", "j").count() == 0
 
