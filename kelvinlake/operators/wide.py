@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelvinlake.session import written
+from kelvinlake.session import bucketed
 
 
 @dataclass(frozen=True)
@@ -24,14 +24,18 @@ class Attribute:
     type: str = "double"
 
 
-def _balanced(tables: list[DataFrame], entity: Sequence[str]) -> DataFrame:
-    """Combine narrow tables by full outer joins in a balanced tree, so each row passes log2(n) joins."""
-    while len(tables) > 1:
-        tables = [
-            tables[i].join(tables[i + 1], list(entity), "full_outer") if i + 1 < len(tables) else tables[i]
-            for i in range(0, len(tables), 2)
-        ]
-    return tables[0]
+def _balanced(spine: DataFrame, tables: list[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Combine narrow tables by outer joins in a balanced tree.
+
+    Tables and spine are bucketed alike. The lowest joins start from the spine, which has every entity, so that outer
+    joins from the left lose none, and a left outer join keeps the partitioning of its left side: no join shuffles.
+    """
+    if len(tables) <= 2:
+        for t in tables:
+            spine = spine.join(t, list(keys), "left")
+        return spine
+    half = (len(tables) + 1) // 2
+    return _balanced(spine, tables[:half], keys).join(_balanced(spine, tables[half:], keys), list(keys), "left")
 
 
 def widen(rows: DataFrame, entity: Sequence[str], attribute: str | Column, value: str | Column, attributes: Sequence[Attribute]) -> DataFrame:
@@ -42,8 +46,8 @@ def widen(rows: DataFrame, entity: Sequence[str], attribute: str | Column, value
     Repeated rows count as often as they occur.
 
     Method: rows are pre-aggregated by (entity, column) in one scan, with map-side partial sums so that a hot
-    entity shrinks before the shuffle; the result is written partitioned by attribute column, which gives the
-    typed narrow tables; these are combined through a balanced tree of full outer joins on the entity.
+    entity shrinks before the shuffle; the result is written partitioned by attribute column and bucketed by entity, which
+    gives co-partitioned, typed narrow tables; these are combined through a balanced tree of outer joins on the entity.
     """
     entity = list(entity)
     attr = F.col(attribute) if isinstance(attribute, str) else attribute
@@ -62,20 +66,20 @@ def widen(rows: DataFrame, entity: Sequence[str], attribute: str | Column, value
         values.append(chosen)
     entries = F.array(*(F.struct(w.alias("name"), x.alias("x")) for w, x in zip(which, values, strict=True)))
     long = base.select(*entity, F.explode(entries).alias("__e")).select(*entity, F.col("__e.name").alias("column_name"), F.col("__e.x").alias("__x")).filter(F.col("column_name").isNotNull() & F.col("__x").isNotNull())
-    reduced = long.groupBy(*entity, "column_name").agg(F.avg("__x").alias("__x"), F.count(F.lit(1)).alias("__n"))
-    narrow = written(reduced.select(*entity, "__x", "__n", "column_name"), "narrow", ["column_name"])
+    # Joins do not match null keys: nulls travel as a bit set beside stand-in values.
+    nulls = F.lit(0)
+    for i, k in enumerate(entity):
+        nulls = nulls.bitwiseOR(F.when(F.col(k).isNull(), 1 << i).otherwise(0))
+    filled = long.select(nulls.alias("__nulls"), *(F.coalesce(F.col(k), F.lit(0).cast(long.schema[k].dataType)).alias(k) for k in entity), "column_name", "__x")
+    keys = [*entity, "__nulls"]
+    reduced = filled.groupBy(*keys, "column_name").agg(F.avg("__x").alias("__x"), F.count(F.lit(1)).alias("__n"))
+    narrow = bucketed(reduced, "narrow", keys, "column_name")
     tables = [
-        narrow.filter(F.col("column_name") == a.name).select(*entity, F.col("__x").cast(a.type).alias(a.name), F.col("__n").alias(f"n_{a.name}"))
+        narrow.filter(F.col("column_name") == a.name).select(*keys, F.col("__x").cast(a.type).alias(a.name), F.col("__n").alias(f"n_{a.name}"))
         for a in attributes
     ]
-    # Outer joins do not match null keys: nulls travel as a flag beside a stand-in value.
-    for k in entity:
-        kind = narrow.schema[k].dataType
-        zero = F.lit(0).cast(kind)
-        tables = [t.withColumns({f"__null_{k}": F.col(k).isNull(), k: F.coalesce(F.col(k), zero)}) for t in tables]
-    keys = entity + [f"__null_{k}" for k in entity]
-    wide = _balanced(tables, keys)
+    wide = _balanced(narrow.select(*keys).distinct(), tables, keys)
     return wide.select(
-        *(F.when(~F.col(f"__null_{k}"), F.col(k)).alias(k) for k in entity),
+        *(F.when(F.col("__nulls").bitwiseAND(1 << i) == 0, F.col(k)).alias(k) for i, k in enumerate(entity)),
         *(c for a in attributes for c in (F.col(a.name), F.coalesce(F.col(f"n_{a.name}"), F.lit(0)).alias(f"n_{a.name}"))),
     )

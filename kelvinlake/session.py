@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_TABLES: list[tuple[SparkSession, str]] = []
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -69,9 +70,26 @@ def written(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, keys: list[str], partition_by: str) -> DataFrame:
+    """Write a DataFrame once into the shared folder, partitioned by a column and bucketed by keys, and read it back.
+
+    Joins and aggregations on exactly these keys need no shuffle. Each task writes one bucket of each partition.
+    """
+    spark = df.sparkSession
+    n, path = shuffle_partitions(spark), scratch_path(spark, tag)
+    name = f"kelvinlake_{uuid.uuid4().hex}"
+    writer = df.repartition(n, *keys).write.format("parquet").option("path", path).option("compression", "zstd").partitionBy(partition_by)
+    writer.bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+    _TABLES.append((spark, name))
+    return spark.table(name)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every intermediate table this session has written."""
-    global _WRITTEN
+    global _WRITTEN, _TABLES
+    for name in [n for s, n in _TABLES if s is spark]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _TABLES = [(s, n) for s, n in _TABLES if s is not spark]
     mine = [p for s, p in _WRITTEN if s is spark]
     _WRITTEN = [(s, p) for s, p in _WRITTEN if s is not spark]
     for path in mine:
