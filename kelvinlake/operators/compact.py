@@ -48,9 +48,15 @@ def _fingerprint(df: DataFrame) -> Column:
     return F.coalesce(F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
 
 
-def compact(df: DataFrame, out: str, keys: Sequence[str], tie: Sequence[str], target_bytes: int = 128 << 20) -> Compaction:
+#: Files are not cut smaller than this to keep the cores busy.
+LEAST_BYTES = 1 << 20
+
+
+def compact(df: DataFrame, out: str, keys: Sequence[str], tie: Sequence[str], target_bytes: int = 128 << 20, least_bytes: int = LEAST_BYTES) -> Compaction:
     """Write ``df`` to the folder ``out`` as few files of about ``target_bytes``, sorted by ``keys`` then ``tie``.
 
+    Tables of fewer such files than there are cores are written as one file per core, down to ``least_bytes`` each.
+
     Rows are range-partitioned with boundaries sampled from (keys, tie); ``tie`` should make rows distinct, so that a
     hot key is split over several files instead of landing in one. Files go to a staging folder first; row
     count and checksum of what was written are reconciled with the input, and only then are the folders swapped. If
@@ -59,7 +65,7 @@ def compact(df: DataFrame, out: str, keys: Sequence[str], tie: Sequence[str], ta
     """
     spark = df.sparkSession
     before = df.agg(F.count(F.lit(1)).alias("n"), _fingerprint(df).alias("f"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
-    files = max(1, math.ceil(before["b"] / target_bytes))
+    files = max(1, math.ceil(before["b"] / target_bytes), min(spark.sparkContext.defaultParallelism, before["b"] // min(least_bytes, target_bytes)))
     order = [*keys, *tie]
     staging, old = f"{out}.staging", f"{out}.old"
     ordered = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if before["n"] else df.coalesce(1)
@@ -131,6 +137,16 @@ def repeated_records(records: DataFrame, keys: Sequence[str] = RECORD_FIELDS, or
     compacted, sorted files equal keys already lie together). Its place identifies a row, so the rest is an anti
     join on the unique place, not on the skewed key.
     """
-    whole = records.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
-    firsts = whole.groupBy(*keys).agg(F.min(F.struct(*order)).alias("first")).select("first.*")
-    return whole.select(*order).join(firsts, list(order), "left_anti")
+    whole = records.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("__place", _place(*order))
+    firsts = whole.groupBy(*keys).agg(F.min("__place").alias("__place")).select("__place")
+    return whole.join(firsts, "__place", "left_anti").select(*order)
+
+
+def records_once(records: DataFrame, order: Sequence[str] = ("file_id", "rec_pos")) -> DataFrame:
+    """The records without those that repeat one at a lower place; records that cannot be compared are all kept."""
+    return records.join(repeated_records(records, order=order), list(order), "left_anti")
+
+
+def _place(major: str, minor: str) -> Column:
+    """A long and an int as one number in the order of both, which a hash aggregation can take the minimum of."""
+    return F.col(major).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col(minor).cast("decimal(11,0)")

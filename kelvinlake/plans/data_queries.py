@@ -124,6 +124,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact.repeated_records(records).select("file_id", "rec_pos")
 
 
+def p4_records_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consolidate every record once into sorted files, and count what is stored per paper after the swap."""
+    records, _ = _compacted_records(spark, sf_dir)
+    done = compact.compact(compact.records_once(records), scratch_path(spark, "once"), compact.RECORD_FIELDS, ("file_id", "rec_pos"), TARGET_BYTES)
+    stored = spark.read.schema(records.schema).parquet(done.path)
+    return stored.groupBy("paperid").agg(F.count(F.lit(1)).alias("n_records"), F.countDistinct("file_id").alias("n_files"), F.min("file_id").alias("first_file"), F.sum("rec_pos").alias("sum_rec_pos"))
+
+
 def p4_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consolidate the measurements of all source files, and count what is stored per paper after the swap."""
     facts = table(spark, sf_dir, "fact_measurements")
@@ -185,7 +193,7 @@ def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_steps, p1_records, p3_found, p3_wide, p4_found, p4_compaction, p5_found, p5_report, p6_found, p6_script_steps, p6_unified)
+    for f in (p1_found, p1_steps, p1_records, p3_found, p3_wide, p4_found, p4_records_once, p4_compaction, p5_found, p5_report, p6_found, p6_script_steps, p6_unified)
 }
 
 _LIVE = "p.ingested_at <= c.ingested_at AND (p.deleted_at IS NULL OR p.deleted_at > c.ingested_at)"
@@ -286,6 +294,9 @@ ORACLE = {
     "p1_steps": _steps_sql(),
     "p3_wide": f"SELECT paper_id, sample_id, t_bin_k, {', '.join(f'round({a.name}, 12) AS {a.name}, n_{a.name}' for a in STATE_ATTRIBUTES)} FROM ({_WIDE}) WHERE n_seebeck + n_conductivity + n_thermal_conductivity + n_resistivity + n_figure_of_merit > 0",
     "p4_found": "SELECT file_id, rec_pos FROM (" + _RECORDS + ") WHERE " + " AND ".join(f"isfinite({f})" for f in compact.RECORD_FIELDS) + f" QUALIFY row_number() OVER (PARTITION BY {', '.join(compact.RECORD_FIELDS)} ORDER BY file_id, rec_pos) > 1",
+    "p4_records_once": f"SELECT CASE WHEN isfinite(paperid) THEN paperid END AS paperid, count(*) AS n_records, count(DISTINCT file_id) AS n_files, min(file_id) AS first_file, CAST(sum(rec_pos) AS BIGINT) AS sum_rec_pos FROM (SELECT * FROM ({_RECORDS}) QUALIFY NOT ("
+    + " AND ".join(f"coalesce(isfinite({f}), false)" for f in compact.RECORD_FIELDS)
+    + f") OR row_number() OVER (PARTITION BY {', '.join(compact.RECORD_FIELDS)} ORDER BY file_id, rec_pos) = 1) GROUP BY 1",
     "p6_found": _FIELD_CHANGES,
     "p3_found": f"SELECT paper_id, sample_id, t_bin_k FROM ({_WIDE}) WHERE seebeck IS NOT NULL AND conductivity IS NOT NULL AND thermal_conductivity IS NOT NULL",
     "p4_compaction": "SELECT paper_id, count(*) AS n_records, count(DISTINCT source_file) AS n_source_files, min(measurement_id) AS first_id, max(measurement_id) AS last_id FROM fact_measurements GROUP BY paper_id",

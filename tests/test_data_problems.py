@@ -8,10 +8,12 @@ import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kelvinlake.operators import compact, drift, json_tree, orphans, wide
 from kelvinlake.operators.ordered import with_previous
 from kelvinlake.plans import data_queries as q
+from kelvinlake.session import written
 
 
 def read(sf_dir, name, columns):
@@ -91,6 +93,12 @@ def test_p3_edge_cases(spark):
     assert wide.widen(df.limit(0), ["e"], "p", "y", a).count() == 0
 
 
+def test_p3_joins_shuffle_nothing(spark, sf_dir):
+    """The narrow tables are co-partitioned by entity: the joins of the plan need no exchange by hash."""
+    plan = q.p3_wide(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_p4_found(spark, sf_dir):
     seen, expected = set(), Counter()
     for key, text in sorted(read(sf_dir, "raw_files", "file_id, payload")):
@@ -118,6 +126,16 @@ def test_compaction_keeps_every_row(spark, tmp_path):
     assert spark.read.parquet(out).count() == 0
 
 
+def test_compaction_cuts_even_files(spark, tmp_path):
+    """Boundaries are sampled: many files of about the target, even with a key that holds a third of all rows; ranges do not overlap."""
+    out = f"file://{tmp_path}/even"
+    df = spark.range(40_000).selectExpr("id", "IF(id % 3 = 0, 7L, id % 1000) AS k", "repeat('x', 40) AS t")
+    done = compact.compact(df, out, ["k"], ["id"], target_bytes=100_000)
+    per = spark.read.parquet(out).groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "id")).alias("a"), F.max(F.struct("k", "id")).alias("b")).orderBy("a").collect()
+    assert done.files == len(per) > 15 and max(r["n"] for r in per) < 3 * 40_000 / len(per)
+    assert all(x["b"] < y["a"] for x, y in zip(per, per[1:], strict=False))
+
+
 @pytest.mark.parametrize(("value", "number"), [(1, 1.0), ("1e2", 100.0), (" 2.50 ", 2.5), (True, None), (None, None), ("1_0", None), ("nan", None), ("x", None), ("", None), ([1], None), (-0.0, 0.0)])
 def test_as_number(value, number):
     assert compact.as_number(value) == number
