@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kelvinlake.operators.compact import as_number
 from kelvinlake.operators.json_tree import as_elements, kind_of, parse_document, scalar_text
 from kelvinlake.operators.ordered import with_previous
+from kelvinlake.session import written
 
 RECORD_ARRAYS = ("rawdata", "data_points")
 #: Costs of the edit script. Renames and moves are cheaper than a deletion with an addition, so that the minimum
@@ -225,7 +227,8 @@ def change_scripts(raw_files: DataFrame) -> DataFrame:
     object; the first file of a feed has no rows. Scripts are computed once per distinct pair of schemas, not per
     file. Null feeds form one feed; null times sort first.
     """
-    linked = with_previous(file_schemas(raw_files), "feed", ["exported_at", "file_id"], ["tree"])
+    # Written, so that the payloads are read once and not again for the boundaries of the ranges.
+    linked = with_previous(written(file_schemas(raw_files), "schemas"), "feed", ["exported_at", "file_id"], ["tree"])
     changed = linked.filter(F.col("prev_tree").isNotNull() & (F.col("prev_tree") != F.col("tree")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +239,9 @@ def change_scripts(raw_files: DataFrame) -> DataFrame:
             kind = pa.list_(pa.struct([(n, pa.bool_() if n.endswith("own") else pa.string()) for n in names]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ops, kind)], names=["prev_tree", "tree", "ops"])
 
-    scripts = changed.select("prev_tree", "tree").distinct().mapInArrow(run, SCRIPT_SCHEMA)
+    # Pairs are few and small but costly: they are dealt to a fixed number of tasks, which is not coalesced.
+    pairs = changed.select("prev_tree", "tree").distinct().repartition(2 * raw_files.sparkSession.sparkContext.defaultParallelism)
+    scripts = pairs.mapInArrow(run, SCRIPT_SCHEMA)
     return (
         changed.join(scripts, ["prev_tree", "tree"])
         .select("feed", "file_id", "exported_at", F.explode("ops").alias("s"))
@@ -260,96 +265,170 @@ def field_changes(scripts: DataFrame) -> DataFrame:
 # ---- one consistent table -----------------------------------------------------------------------------------------
 
 
-def _together(raw_files: DataFrame, names: list[str]) -> set[tuple[str, str]]:
-    """Which two of the names ever have a value in one record."""
-    wanted = frozenset(names)
+@dataclass(frozen=True)
+class Projection:
+    """Change scripts compiled: what each field of a file's schema becomes.
+
+    ``names``: canonical record field -> all its names (renames). ``moved``: canonical record field -> other paths it has been
+    at (moves, also from the document or out of nested objects). ``numbers``: own record fields that change between
+    numbers and text, whose text is read as a number where it is one (retypings). Fields that are added get
+    a place of their own under their canonical name, fields that are deleted are null.
+    """
+
+    names: Mapping[str, list[str]] = field(default_factory=dict)
+    moved: Mapping[str, list[str]] = field(default_factory=dict)
+    numbers: frozenset[str] = frozenset()
+
+    def canonical(self) -> dict[str, str]:
+        return {n: c for c, members in self.names.items() for n in members}
+
+    def compile(self, tree: list, fields: tuple[str, ...]) -> dict[str, list[tuple[str, ...]]]:
+        """For one schema: the paths each column takes its value from, in order, of those the schema has."""
+        there = {n[3] for n in _postorder(tree)[0]}
+        linked = {n: members for members in self.names.values() for n in members}
+        out = {}
+        for f in fields:
+            group = [f, *(n for n in linked.get(f, []) if n not in fields)]
+            moved = [p for n in dict.fromkeys([*group, *(c for c, m in self.names.items() if f in m)]) for p in self.moved.get(n, [])]
+            # The names of own fields may hold dots; those on moved paths are split at them.
+            paths = [*((f"record.{n}", ("record", n)) for n in group), *((p, tuple(p.split("."))) for p in moved), *((f"root.{n}", ("root", n)) for n in group)]
+            out[f] = list(dict.fromkeys(keys for p, keys in paths if p in there))
+        return out
+
+
+def _together(raw_files: DataFrame, pairs: list[tuple[str, str]]) -> set[tuple[str, str]]:
+    """Which pairs of paths ever have values together: own record fields in one record, others in one file."""
+    wanted = [(p, q, p.split("."), q.split(".")) for p, q in pairs]
+    own = [(p, q, x[1], y[1]) for p, q, x, y in wanted if x[0] == y[0] == "record" and len(x) == len(y) == 2]
+    other = [(p, q) for p, q, x, y in wanted if not (x[0] == y[0] == "record" and len(x) == len(y) == 2)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = set()
+        found = set()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 document = parse_document(text) or {}
                 for item in (e for a in RECORD_ARRAYS for e in as_elements(document.get(a)) if isinstance(e, dict)):
-                    pairs.update(combinations(sorted(k for k in wanted & item.keys() if item[k] is not None), 2))
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in pairs], pa.string()), pa.array([q for _, q in pairs], pa.string())], names=["p", "q"])
+                    found.update((p, q) for p, q, x, y in own if item.get(x) is not None and item.get(y) is not None)
+                if other and (tree := schema_tree(document)) is not None:
+                    there = {n[3] for n in _postorder(tree)[0]}
+                    found.update((p, q) for p, q in other if p in there and q in there)
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([q for _, q in found], pa.string())], names=["p", "q"])
 
     return {(r["p"], r["q"]) for r in raw_files.select("payload").mapInArrow(run, "p string, q string").distinct().collect()}
 
 
-def compile_projection(scripts: DataFrame, raw_files: DataFrame, min_share: float = 0.5) -> dict[str, list[str]]:
-    """Compile the scripts into a projection: canonical record field -> its names, commonest old name first.
+def compile_projection(scripts: DataFrame, raw_files: DataFrame, min_share: float = 0.5) -> Projection:
+    """Compile the steps of the scripts into a projection (:class:`Projection`) that is applied to every file.
 
-    Renames of own fields link two names that are spellings of one name. Others are linked if of the steps that bring
-    or take the rarer name at least ``min_share`` are renames between the two, and no record has a value under names of
-    both sides. Linked names form one column. What comes to the driver is the vocabulary of field names, which becomes
-    the columns of the table, and not anything that grows with the rows.
+    Renames of own fields link two names that are spellings of one name. Other renames, and moves, are linked if of the steps
+    that bring or take the rarer path at least ``min_share`` are steps between the two, and no record (for moves: no file) has
+    a value at both. Retypings between number and text make a number of the text. What comes to the driver is the
+    vocabulary of field names and their steps, and not anything that grows with the rows.
     """
-    own = scripts.filter(F.coalesce(F.col("old_own"), F.lit(False)) | F.coalesce(F.col("new_own"), F.lit(False)))
-    steps = own.filter(F.col("op").isin("add", "delete", "rename", "move")).groupBy("op", "old_path", "new_path", "old_own", "new_own").agg(F.count(F.lit(1)).alias("n")).collect()
+    steps = scripts.groupBy("op", "old_path", "new_path", "old_kinds", "new_kinds", "old_own", "new_own").agg(F.count(F.lit(1)).alias("n")).collect()
     touched: dict[str, int] = {}
-    renames: dict[tuple[str, str], int] = {}
+    links: dict[tuple[str, str], int] = {}
     score: dict[str, int] = {}
+    numbers = set()
     for s in steps:
-        for path in {s["old_path"], s["new_path"]} - {None}:
+        old, new = s["old_path"], s["new_path"]
+        if s["op"] == "retype":
+            if s["new_own"] and new.startswith("record.") and {s["old_kinds"], s["new_kinds"]} <= {"number", "string", "number|string"}:
+                numbers.add(new.removeprefix("record."))
+            continue
+        for path in {old, new} - {None}:
             touched[path] = touched.get(path, 0) + s["n"]
-        if s["op"] == "rename" and s["old_own"] and s["new_own"] and s["old_path"].startswith("record.") and s["new_path"].startswith("record."):
-            pair = tuple(sorted((s["old_path"].removeprefix("record."), s["new_path"].removeprefix("record."))))
-            renames[pair] = renames.get(pair, 0) + s["n"]
-            old = s["old_path"].removeprefix("record.")
+        renamed = s["op"] == "rename" and s["old_own"] and s["new_own"] and old.startswith("record.") and new.startswith("record.")
+        if renamed or (s["op"] == "move" and any(p.startswith("record.") and p.count(".") == 1 for p in (old, new))):
+            pair = (min(old, new), max(old, new))
+            links[pair] = links.get(pair, 0) + s["n"]
             score[old] = score.get(old, 0) + s["n"]
-    together = _together(raw_files, sorted({n for pair in renames for n in pair})) if renames else set()
-    group = {n: [n] for pair in renames for n in pair}
-    for (p, q), n in sorted(renames.items(), key=lambda r: (_plain(r[0][0]) != _plain(r[0][1]), -r[1], r[0])):
+    group = {p: [p] for pair in links for p in pair}
+    together = _together(raw_files, [(p, q) for p in group for q in group if p < q]) if links else set()
+
+    def spelled(pair: tuple[str, str]) -> bool:
+        p, q = (x.removeprefix("record.") for x in pair)
+        return "." not in p + q and _plain(p) == _plain(q)
+
+    for (p, q), n in sorted(links.items(), key=lambda r: (not spelled(r[0]), -r[1], r[0])):
         if group[p] is group[q]:
             continue
-        if _plain(p) != _plain(q):
-            share = n / min(touched[f"record.{p}"], touched[f"record.{q}"])
-            if share < min_share or any((min(x, y), max(x, y)) in together for x in group[p] for y in group[q]):
+        if not spelled((p, q)):
+            few = n < min_share * min(touched[p], touched[q])
+            if few or any((min(x, y), max(x, y)) in together for x in group[p] for y in group[q]):
                 continue
         group[p].extend(group[q])
-        for name in group[q]:
-            group[name] = group[p]
-    out = {}
+        for path in group[q]:
+            group[path] = group[p]
+    names, moved = {}, {}
     for members in {id(g): g for g in group.values() if len(g) > 1}.values():
         members = sorted(members, key=lambda x: (-score.get(x, 0), x))
-        out[members[0]] = members
-    return out
+        own = [m.removeprefix("record.") for m in members if m.startswith("record.") and m.count(".") == 1]
+        if len(own) > 1:
+            names[own[0]] = own
+        if own and len(own) < len(members):
+            moved[own[0]] = [m for m in members if m.removeprefix("record.") not in own]
+    same = {n: c for c, group_ in names.items() for n in group_}
+    return Projection(names, moved, frozenset(m for f in numbers for m in names.get(same.get(f, f), [f])))
+
 
+def _value(item: dict, document: dict, path: tuple[str, ...]):
+    """The first non-null value at a path below the record or the document; arrays on the way give their elements in order."""
+    values = [item if path[0] == "record" else document]
+    for key in path[1:]:
+        values = [v for x in values for e in (x if isinstance(x, list) else [x]) if isinstance(e, dict) and (v := e.get(key)) is not None]
+    return values[0] if values else None
 
-def unified_records(raw_files: DataFrame, projection: dict[str, list[str]], fields: tuple[str, ...]) -> DataFrame:
+
+def unified_records(raw_files: DataFrame, projection: Projection | Mapping[str, list[str]], fields: tuple[str, ...]) -> DataFrame:
     """One consistent table of all records: (file_id, array_name, rec_pos, a text column per field, extra).
 
-    ``projection`` (see :func:`compile_projection`) is applied to every file: a field takes the first non-null value
-    among its names, then the document's own field of that name; its names are those of the group it is in. Values are
-    text in JSON notation, so that a field retyped between files stays one column; whatever gives no column its value is
-    kept as JSON in ``extra``, fields of the document as ``root.<key>``, unless it repeats the column's value. Files without
-    a readable document give no rows.
+    The projection (see :func:`compile_projection`; a mapping stands for names only) is compiled once per distinct schema and
+    applied to every file: a field takes the first non-null value among its names, then among the places it has been
+    moved to, then the document's own field of that name. Values are text in JSON notation, so that a field retyped between files
+    stays one column, and text of fields that change between number and text is written as the number it is;
+    whatever gives no column its value is kept as JSON in ``extra`` under its canonical name (its own, if the record has both),
+    fields of the document as ``root.<key>``, unless it repeats the column's value. Files without a readable document give no rows.
     """
-    linked = {n: members for members in projection.values() for n in members}
-    names = {f: [f, *(n for n in linked.get(f, []) if n not in fields)] for f in fields}
-    column_of = {n: f for f, group in names.items() for n in group}
+    plan = projection if isinstance(projection, Projection) else Projection(dict(projection))
+    linked = {n: members for members in plan.names.values() for n in members}
+    column_of = {n: f for f in fields for n in [f, *(n for n in linked.get(f, []) if n not in fields)]}
+    canonical = plan.canonical()
     arrow = pa.schema([("file_id", pa.int64()), ("array_name", pa.string()), ("rec_pos", pa.int32()), *((f, pa.string()) for f in fields), ("extra", pa.string())])
 
-    def text(value) -> str | None:
+    def text(value, name: str) -> str | None:
+        if name in plan.numbers and isinstance(value, str) and (number := as_number(value)) is not None:
+            value = int(number) if number.is_integer() and abs(number) < 2**53 else number
+        elif name in plan.numbers and isinstance(value, float) and value.is_integer() and abs(value) < 2**53:
+            value = int(value)
         return scalar_text(value) if not isinstance(value, (dict, list)) else json.dumps(value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled: dict[str, dict[str, list[tuple[str, ...]]]] = {}
         for batch in batches:
             rows = []
             for file_id, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 document = parse_document(payload) or {}
+                tree = schema_tree(document)
+                if tree is None:
+                    continue
+                key = json.dumps(tree, separators=(",", ":"))
+                if key not in compiled:
+                    if len(compiled) > 10_000:
+                        compiled.clear()
+                    compiled[key] = plan.compile(tree, fields)
+                paths = compiled[key]
                 for array in RECORD_ARRAYS:
                     for pos, item in enumerate(as_elements(document.get(array))):
                         if not isinstance(item, dict):
                             continue
-                        values = {}
-                        for f, group in names.items():
-                            own = next((item[n] for n in group if item.get(n) is not None), None)
-                            if own is None:
-                                own = next((document[n] for n in group if document.get(n) is not None), None)
-                            values[f] = text(own)
-                        left = [*item.items(), *((f"root.{k}", v) for k, v in document.items() if k not in RECORD_ARRAYS)]
-                        extra = {k: v for k, v in left if v is not None and not ((f := column_of.get(k.removeprefix("root."))) and values[f] == text(v))}
+                        values = {f: text(next((v for p in paths[f] if (v := _value(item, document, p)) is not None), None), f) for f in fields}
+                        extra = {}
+                        for k, v in [*item.items(), *((f"root.{k}", v) for k, v in document.items() if k not in RECORD_ARRAYS)]:
+                            f = column_of.get(k.removeprefix("root."))
+                            if v is not None and not (f and values[f] == text(v, f)):
+                                c = canonical.get(k, k)
+                                extra[k if c != k and (c in extra or item.get(c) is not None or f) else c] = v
                         rows.append((file_id, array, pos, *values.values(), json.dumps(extra, sort_keys=True) if extra else None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(arrow)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)

@@ -229,13 +229,28 @@ def test_renames_are_merged_on_evidence(spark):
     payloads = [record("figureid", err_x=1), record("figId", err_x=1), record("figureid"), record("figureid", err_y=1), json.dumps({"rawdata": [{"figureid": 5, "err_x": 1, "err_y": 2}]})]
     raw = spark.createDataFrame([(i, "f", datetime(2024, 1, 1 + i), p) for i, p in enumerate(payloads)], "file_id long, feed string, exported_at timestamp, payload string")
     projection = drift.compile_projection(drift.change_scripts(raw), raw)
-    assert [sorted(m) for m in projection.values()] == [["figId", "figureid"]]
+    assert [sorted(m) for m in projection.names.values()] == [["figId", "figureid"]]
     for keyed in (projection, {"figId": ["figId", "figureid"]}):
         out = {r["file_id"]: r for r in drift.unified_records(raw, keyed, ("figureid", "x")).collect()}
         assert {r["figureid"] for r in out.values()} == {"5"}
         assert json.loads(out[1]["extra"]) == {"y": 2, "err_x": 1, "root.lab": "k"}
 
 
+def test_whole_scripts_are_compiled(spark):
+    """Moves, retypings, additions and deletions: one projection per schema, and no value lost."""
+    payloads = [
+        {"sample_id": 4, "rawdata": [{"x": 1, "y": 2}]}, {"rawdata": [{"sample_id": 4, "x": "1.0", "y": 2}]}, {"sample_id": 4, "rawdata": [{"x": 1, "y": 2}]}, {"rawdata": [{"sample_id": 4, "x": 1, "meta": {"fig": 9}}]},
+        {"rawdata": [{"sample_id": 4, "x": 1, "fig": 9, "err": 3}]},
+    ]
+    raw = spark.createDataFrame([(i, "f", datetime(2024, 1, 1 + i), json.dumps(p)) for i, p in enumerate(payloads)], "file_id long, feed string, exported_at timestamp, payload string")
+    plan = drift.compile_projection(drift.change_scripts(raw), raw)
+    assert plan.moved == {"sample_id": ["root.sample_id"], "fig": ["record.meta.fig"]} and plan.numbers == {"x"}
+    out = {r["file_id"]: r for r in drift.unified_records(raw, plan, ("sample_id", "x", "y", "fig")).collect()}
+    assert [out[i]["sample_id"] for i in range(5)] == ["4"] * 5 and [out[i]["x"] for i in range(5)] == ["1"] * 5
+    assert [out[i]["y"] for i in range(5)] == ["2", "2", "2", None, None] and [out[i]["fig"] for i in range(5)] == [None, None, None, "9", "9"]
+    assert json.loads(out[4]["extra"]) == {"err": 3}
+
+
 @pytest.mark.parametrize("depth", [12, 200])
 def test_scripts_reach_every_depth(depth):
     def tree(leaf):
