@@ -49,6 +49,8 @@ _COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u
 _SPACED = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_](?:\1[^\W\d_]){1,}(?![^\W_])")
 #: Two single letters with the same separator: what letters spread by separators hold.
 _SINGLE = re.compile(r"(?<![^\W_])[^\W_]([ \-._*/]{1,2})[^\W\d_]\1[^\W\d_](?![^\W_])|[ \-._*/][^\W\d_]([ \-._*/]{1,2})[^\W\d_]\2")
+#: Tokens that such a letter can be where the separator holds a blank.
+_MIDDLE = frozenset(t for c in _LETTERS + _LETTERS.upper() for t in (c, *(f"{c}{x}" for x in "-._*/"), *(f"{x}{c}" for x in "-._*/")))
 _TOKEN = re.compile(r"[^\s\"“”„«»,;:?()\[\]{}<>/\\]+")
 _ELEMENT = "|".join(sorted(lexicon.ELEMENTS, key=len, reverse=True))
 _FORMULA = re.compile(rf"(?:(?:{_ELEMENT})(?:[1-9]\d*(?:\.\d+)?|0?\.\d+|[-+]?x)?[-+]?)+$")
@@ -439,6 +441,7 @@ class Moderator:
     chars: CharModel
     scorer: scorer.Scorer
     _quiet: set[str] = field(default_factory=set)
+    _base: tuple[float, str] | None = None
 
     def __getstate__(self):
         return {**self.__dict__, "_quiet": set()}
@@ -453,24 +456,26 @@ class Moderator:
         return cls(chars, scorer.Scorer.fit(known, chars.common, chars.frequent))
 
     def quiet(self, passage: str) -> bool:
-        """Whether no token of a passage is disguised or evidence, so that its score is that of no evidence.
-
-        Holds for passages without letters spread by separators; quiet tokens are remembered.
-        """
+        """Whether no token of a passage is disguised or evidence, so that its score is that of no evidence; quiet tokens are remembered."""
         quiet = self._quiet
-        for t in passage.split():
-            if t not in quiet:
-                if self.chars.restore(t) != t.lower() or any(map(self.scorer.speaks, scorer.words_of(t.lower()))):
-                    return False
-                if len(quiet) > 500_000:
-                    quiet.clear()
-                quiet.add(t)
-        return True
+        tokens = passage.split()
+        if not quiet.issuperset(tokens):
+            for t in tokens:
+                if t not in quiet:
+                    if self.chars.restore(t) != t.lower() or any(map(self.scorer.speaks, scorer.words_of(t.lower()))):
+                        return False
+                    if len(quiet) > 500_000:
+                        quiet.clear()
+                    quiet.add(t)
+        # Letters spread over several tokens have one between two separators.
+        return (passage.isascii() and _MIDDLE.isdisjoint(tokens)) or not _SINGLE.search(passage)
 
     def judge(self, passage: str) -> tuple[float, str]:
         """Score and category of one passage: the greater of the restored and the plain text."""
-        if self.quiet(passage) and not _SINGLE.search(passage):
-            return self.scorer.score("")
+        if self.quiet(passage):
+            if self._base is None:
+                self._base = self.scorer.score("")
+            return self._base
         restored, plain = self.chars.restore(passage), passage.lower()
         best = self.scorer.score(restored)
         return best if restored == plain else max(best, self.scorer.score(plain))

@@ -272,10 +272,15 @@ def test_quiet_passages_score_as_judged(spark, sf_dir, moderator):
     """The short way for passages without evidence gives what the long way gives."""
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
         for p in moderation.passages(r["text"]):
-            if moderator.quiet(p) and not moderation._SINGLE.search(p):
+            if moderator.quiet(p):
                 assert moderator.chars.restore(p) == p.lower() and moderator.scorer.score(p.lower()) == moderator.scorer.score("")
 
 
+@pytest.mark.parametrize("text", ["f u c k", "so f- u- c- k it", "s -h -i -t", "x i d i o t.", "(m o r o n)"])
+def test_spread_letters_are_not_quiet(moderator, text):
+    assert not moderator.quiet(text) and moderator.chars.restore(text) != text
+
+
 def test_worst_passage_is_whole(spark, moderator):
     text = "You are a worthless moron " + "and everybody here knows it " * 60 + "at last."
     row = moderation.score_documents(spark.createDataFrame([(1, "a", text)], "doc_id long, source string, text string"), moderator).first()
