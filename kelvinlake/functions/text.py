@@ -67,7 +67,8 @@ def family_label(c: Column) -> Column:
 
 def sampleinfo_category(json: Column, key: str) -> Column:
     """The trimmed category of one key of a sampleinfo text, '' on any problem."""
-    return F.coalesce(F.trim(F.get_json_object(json, f"$.{key}.category")), F.lit(""))
+    whole = F.when(F.try_parse_json(json).isNotNull(), json)
+    return F.coalesce(F.trim(F.get_json_object(whole, f"$.{key}.category")), F.lit(""))
 
 
 def flexible_id(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,3 +127,9 @@ def surrogate_ids(df: DataFrame, order: Sequence[str], name: str = "state_id") -
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     out = ranged.join(F.broadcast(offsets.select("__part", "first", "__offset")), "__part")
     return out.withColumn(name, F.col("__offset") + F.col("__at") - F.col("first")).drop("__part", "__at", "first", "__offset")
+
+
+def named_properties(properties: DataFrame, name: str, roles: Mapping[str, str]) -> DataFrame:
+    """The properties whose name is exactly one of ``roles``, with the role of each; a null name is none."""
+    role = F.create_map(*(F.lit(x) for pair in roles.items() for x in pair))[F.col(name)]
+    return properties.filter(F.col(name).isin(*roles)).withColumn("role", role)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelvinlake.operators.json_tree import as_elements, parse_document
-from kelvinlake.session import filesystem
+from kelvinlake.session import filesystem, swap_folders
 
 
 @dataclass(frozen=True)
@@ -67,7 +67,7 @@ def compact(df: DataFrame, out: str, keys: Sequence[str], tie: Sequence[str], ta
     before = df.agg(F.count(F.lit(1)).alias("n"), _fingerprint(df).alias("f"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
     files = max(1, math.ceil(before["b"] / target_bytes), min(spark.sparkContext.defaultParallelism, before["b"] // min(least_bytes, target_bytes)))
     order = [*keys, *tie]
-    staging, old = f"{out}.staging", f"{out}.old"
+    staging = f"{out}.staging"
     ordered = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if before["n"] else df.coalesce(1)
     ordered.write.mode("overwrite").option("compression", "zstd").parquet(staging)
     back = spark.read.schema(df.schema).parquet(staging)
@@ -76,16 +76,7 @@ def compact(df: DataFrame, out: str, keys: Sequence[str], tie: Sequence[str], ta
     if (after["n"], after["f"]) != (before["n"], before["f"]):
         fs.delete(staged, True)
         raise ValueError(f"compaction of {out}: {before['n']} rows in, {after['n']} rows written, checksums {before['f']} and {after['f']}")
-    _, target = filesystem(spark, out)
-    _, backup = filesystem(spark, old)
-    fs.delete(backup, True)
-    if fs.exists(target):
-        fs.rename(target, backup)
-    if not fs.rename(staged, target):
-        if fs.exists(backup):
-            fs.rename(backup, target)
-        raise OSError(f"compaction of {out}: the folders could not be swapped")
-    fs.delete(backup, True)
+    swap_folders(spark, staging, out)
     return Compaction(out, before["n"], int(before["f"]), len(spark.read.schema(df.schema).parquet(out).inputFiles()))
 
 

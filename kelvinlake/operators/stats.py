@@ -115,9 +115,14 @@ def histogram2d(df: DataFrame, x: str, y: str, x_range: tuple, y_range: tuple, b
     return df.filter(inside).groupBy(cell(x, x_range).alias("x_bin"), cell(y, y_range).alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def reservoir(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """A uniform sample of fixed size: the n least of random keys; a top-k that never sorts everything."""
-    return df.withColumn("__r", F.rand(seed)).orderBy("__r").limit(n).drop("__r")
+def reservoir(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """A uniform sample of fixed size: the n rows whose hashed keys are least; a top-k that never sorts everything.
+
+    The same rows come out however the table is partitioned and whatever tasks run again. ``key`` should be unique; rows with
+    equal keys are taken or left together but for the last place. A null key counts as a key of its own.
+    """
+    order = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return df.orderBy(order, key).limit(n)
 
 
 def canonical_hash(df: DataFrame) -> DataFrame:

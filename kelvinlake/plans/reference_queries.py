@@ -398,15 +398,22 @@ def si_normalization(spark, sf_dir):
     return facts(spark, sf_dir).select("measurement_id", "property_id_y", "y_raw").join(p, "property_id_y", "left").select("measurement_id", (F.col("y_raw") * F.col("si_factor")).alias("y_normalized"))
 
 
+_UNIT_TEXTS = """SELECT measurement_id, y_raw, property_id_y, CASE property_id_y WHEN 2 THEN CASE measurement_id % 3 WHEN 0 THEN 'V/K' WHEN 1 THEN 'uV/K' ELSE 'mV/K' END WHEN 3 THEN CASE measurement_id % 4 WHEN 0 THEN 'S/m' WHEN 1 THEN 'S/cm' WHEN 2 THEN '10^3 S/m' ELSE '10^4 S/m' END
+  WHEN 4 THEN CASE measurement_id % 3 WHEN 0 THEN 'W/mK' WHEN 1 THEN 'mW/cmK' ELSE 'mW/m^1K' END WHEN 5 THEN CASE measurement_id % 5 WHEN 0 THEN 'Ohm*m' WHEN 1 THEN 'mOhm*cm' WHEN 2 THEN 'uOhm*cm' WHEN 3 THEN 'Ohm*cm' ELSE 'uOhm*m' END END AS unit_raw FROM fact_measurements"""
+
+
 @query(
-    f"""SELECT measurement_id, y_raw * CASE WHEN property_id_y = 2 AND regexp_matches(unit_raw, 'uV|muV|μV') THEN 1e-6 ELSE 1e0 END * CASE WHEN property_id_y = 2 AND regexp_matches(unit_raw, 'mV') THEN 1e-3 ELSE 1e0 END
-        * CASE WHEN property_id_y = 3 AND regexp_matches(unit_raw, 'cm') THEN 1e2 ELSE 1e0 END AS scaled FROM ({_RAW_UNITS})"""
+    f"""SELECT measurement_id, y_raw
+        * CASE WHEN property_id_y = 2 AND regexp_matches(unit_raw, 'uV|muV|μV') THEN 1e-6 ELSE 1e0 END * CASE WHEN property_id_y = 2 AND regexp_matches(unit_raw, 'mV') THEN 1e-3 ELSE 1e0 END
+        * CASE WHEN property_id_y = 3 AND regexp_matches(unit_raw, 'cm') THEN 1e2 ELSE 1e0 END * CASE WHEN property_id_y = 3 AND contains(unit_raw, '10^3') THEN 1e3 ELSE 1e0 END * CASE WHEN property_id_y = 3 AND contains(unit_raw, '10^4') THEN 1e4 ELSE 1e0 END
+        * CASE WHEN property_id_y = 5 AND regexp_matches(unit_raw, 'mOhm.*cm') THEN 1e-5 ELSE 1e0 END * CASE WHEN property_id_y = 5 AND regexp_matches(unit_raw, 'uOhm.*cm|μOhm.*cm') THEN 1e-8 ELSE 1e0 END
+        * CASE WHEN property_id_y = 5 AND regexp_matches(unit_raw, 'Ohm.*cm') AND NOT regexp_matches(unit_raw, 'mOhm|uOhm|μOhm') THEN 1e-2 ELSE 1e0 END * CASE WHEN property_id_y = 5 AND regexp_matches(unit_raw, 'uOhm.*m|μOhm.*m') AND NOT contains(unit_raw, 'cm') THEN 1e-6 ELSE 1e0 END
+        * CASE WHEN property_id_y = 4 AND regexp_matches(unit_raw, 'mW.*cm|cm.*mW') THEN 0.1e0 ELSE 1e0 END * CASE WHEN property_id_y = 4 AND (unit_raw LIKE '%mW%m^%' OR unit_raw LIKE '%m^%mW%') THEN 1e-3 ELSE 1e0 END AS scaled FROM ({_UNIT_TEXTS})"""
 )
 def unit_text_scaling(spark, sf_dir):
-    raw = _view(spark, sf_dir, "fact_measurements", _RAW_UNITS)
-    role = F.when(F.col("property_id_y") == 2, "S").when(F.col("property_id_y") == 3, "Sigma")
-    rules = {k: v for k, v in units.TEXT_RULES.items() if k in ("S", "Sigma")}
-    return raw.select("measurement_id", units.scale_by_text(F.col("y_raw"), F.col("unit_raw"), role, rules).alias("scaled"))
+    raw = _view(spark, sf_dir, "fact_measurements", _UNIT_TEXTS)
+    role = F.when(F.col("property_id_y") == 2, "S").when(F.col("property_id_y") == 3, "Sigma").when(F.col("property_id_y") == 5, "Rho").when(F.col("property_id_y") == 4, "Kappa")
+    return raw.select("measurement_id", units.scale_by_text(F.col("y_raw"), F.col("unit_raw"), role, units.TEXT_RULES).alias("scaled"))
 
 
 @query(
@@ -422,7 +429,7 @@ def quantity_algebra(spark, sf_dir):
     c = units.quantity(F.col("l_tax"), F.lit(0.01), kelvin)
     q = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", units.multiply(a, b).alias("m"), units.add(a, same, -1).alias("d"), units.divide(a, c).alias("q"))
     return q.select(
-        "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_quantity") + 273.15).alias("kelvin"), F.col("m.value").alias("product"), F.round("m.uncertainty", 10).alias("product_error"), F.col("d.value").alias("difference"), F.col("q.value").alias("quotient"), F.concat(F.lit("["), F.array_join("m.dim", ", "), F.lit("]")).alias("product_dim"),
+        "l_orderkey", "l_linenumber", "l_partkey", units.convert(F.col("l_quantity").cast("double"), F.lit(0.1), "degC", "K")[0].alias("kelvin"), F.col("m.value").alias("product"), F.round("m.uncertainty", 10).alias("product_error"), F.col("d.value").alias("difference"), F.col("q.value").alias("quotient"), F.concat(F.lit("["), F.array_join("m.dim", ", "), F.lit("]")).alias("product_dim"),
     )
 
 
@@ -536,8 +543,8 @@ def _describe_sql(src: str, by: str, v: str) -> str:
     return f"SELECT {by}, count(*) AS n, round(avg({v}), 8) AS mean, round(stddev_samp({v}), 8) AS sd, round(min({v}), 8) AS least, {q}, round(max({v}), 8) AS largest FROM ({src}) WHERE isfinite({v}) GROUP BY {by}"
 
 
-_RAW_CLEAN = """SELECT property_id_y, property_id_x = 1 AND CASE property_id_y WHEN 2 THEN abs(y_si) <= 1e-3 WHEN 4 THEN y_si > 0 AND y_si <= 100 ELSE y_si BETWEEN 0 AND 4 END AS is_clean, CASE WHEN property_id_y = 2 THEN y_si * 1e6 ELSE y_si END AS v
- FROM fact_measurements WHERE property_id_y IN (2, 4, 16) AND y_si IS NOT NULL AND isfinite(y_si)""".replace("isfinite(y_si)", "abs(y_si) < 1e300")
+_RAW_CLEAN = """SELECT property_id_y, property_id_x = 1 AND CASE property_id_y WHEN 2 THEN abs(y_si) <= 1e-3 WHEN 3 THEN y_si > 0 AND y_si <= 1e7 WHEN 4 THEN y_si > 0 AND y_si <= 100 ELSE y_si BETWEEN 0 AND 4 END AS is_clean,
+ CASE property_id_y WHEN 2 THEN y_si * 1e6 WHEN 3 THEN y_si * 1e-3 ELSE y_si END AS v FROM fact_measurements WHERE property_id_y IN (2, 3, 4, 16) AND abs(y_si) < 1e300"""
 
 
 @query(_describe_sql(_RAW_CLEAN, "property_id_y, is_clean", "v"))
@@ -583,12 +590,13 @@ def correlation_matrix(spark, sf_dir):
     return stats.correlation_matrix(audited(spark, sf_dir).filter("audit_tier < 4"), ["s_si", "sigma_si", "kappa_si", "t_bin_k"]).withColumn("r", F.round("r", 8))
 
 
-_TIERED = f"SELECT audit_tier, unnest(['t_bin_k', 'kappa_si', 'zt_computed']) AS property, unnest([t_bin_k, kappa_si, zt_computed]) AS v FROM ({_AUDITED})"
+_TIERED = f"SELECT audit_tier, unnest(['s_uv', 'sigma_smm', 'kappa_si', 't_bin_k', 'zt_computed']) AS property, unnest([s_si * 1e6, sigma_si * 1e-3, kappa_si, t_bin_k, zt_computed]) AS v FROM ({_AUDITED})"
 
 
 @query(_describe_sql(_TIERED, "audit_tier, property", "v"))
 def descriptive_by_tier(spark, sf_dir):
-    return stats.describe_by_tier(audited(spark, sf_dir), ["t_bin_k", "kappa_si", "zt_computed"]).select("audit_tier", "property", "n", *_rounded(_D))
+    scaled = audited(spark, sf_dir).withColumns({"s_uv": F.col("s_si") * 1e6, "sigma_smm": F.col("sigma_si") * 1e-3})
+    return stats.describe_by_tier(scaled, ["s_uv", "sigma_smm", "kappa_si", "t_bin_k", "zt_computed"]).select("audit_tier", "property", "n", *_rounded(_D))
 
 
 @query(
@@ -618,9 +626,9 @@ def zt_mismatch_share(spark, sf_dir):
     return one.withColumn("pct_mismatch", F.round(F.try_divide(100.0 * F.col("n_mismatch"), F.col("n_compared")), 9))
 
 
-@query(f"SELECT sample_id, paper_id, t_bin_k, round(zt_error, 6) AS zt_error FROM ({_AUDITED}) WHERE zt_error IS NOT NULL AND zt_error < 1e3 ORDER BY zt_error DESC, sample_id, paper_id, t_bin_k LIMIT 3")
+@query(f"SELECT sample_id, paper_id, t_bin_k, round(zt_error, 6) AS zt_error FROM ({_AUDITED}) WHERE zt_error IS NOT NULL ORDER BY zt_error DESC, sample_id, paper_id, t_bin_k LIMIT 3")
 def worst_conflicts(spark, sf_dir):
-    rows = audited(spark, sf_dir).filter("zt_error IS NOT NULL AND zt_error < 1e3")
+    rows = audited(spark, sf_dir).filter("zt_error IS NOT NULL")
     return rows.orderBy(F.desc("zt_error"), "sample_id", "paper_id", "t_bin_k").limit(3).select("sample_id", "paper_id", "t_bin_k", F.round("zt_error", 6).alias("zt_error"))
 
 
@@ -698,11 +706,10 @@ def experiment_class(spark, sf_dir):
     return table(spark, sf_dir, "dim_samples").select("row_id", text.experiment_class([F.col(f) for f in fields]).alias("experiment_class"))
 
 
-@query("SELECT row_id, coalesce(trim(CASE WHEN json_valid(sampleinfo_json) THEN json_extract_string(sampleinfo_json, '$.MaterialFamily.category') END), '') AS family, coalesce(trim(CASE WHEN json_valid(sampleinfo_json) THEN json_extract_string(sampleinfo_json, '$.DataType.category') END), '') AS data_kind FROM dim_samples WHERE sampleinfo_json IS NULL OR json_valid(sampleinfo_json)")
+@query("SELECT row_id, coalesce(trim(CASE WHEN json_valid(sampleinfo_json) THEN json_extract_string(sampleinfo_json, '$.MaterialFamily.category') END), '') AS family, coalesce(trim(CASE WHEN json_valid(sampleinfo_json) THEN json_extract_string(sampleinfo_json, '$.DataType.category') END), '') AS data_kind FROM dim_samples")
 def sampleinfo_extract(spark, sf_dir):
     j = F.col("sampleinfo_json")
-    valid = j.isNull() | F.try_parse_json(j).isNotNull()
-    return table(spark, sf_dir, "dim_samples").filter(valid).select("row_id", text.sampleinfo_category(j, "MaterialFamily").alias("family"), text.sampleinfo_category(j, "DataType").alias("data_kind"))
+    return table(spark, sf_dir, "dim_samples").select("row_id", text.sampleinfo_category(j, "MaterialFamily").alias("family"), text.sampleinfo_category(j, "DataType").alias("data_kind"))
 
 
 # ---- tables, curves, files ------------------------------------------------------------------------------------------
@@ -814,17 +821,59 @@ def zt_crosscheck_pchip(spark, sf_dir):
     return out.select("sample_id", "paper_id", "n_grid", F.round("mean_error", 6).alias("mean_error"), "passed", "anomaly_flags")
 
 
-@query()
+@query(f"SELECT row_id, t, s FROM ({_GRID}) ORDER BY md5(concat('42|', CAST(row_id AS VARCHAR))), row_id LIMIT 5000")
 def reservoir_sample(spark, sf_dir):
     """A fixed-size uniform sample of states: the operator itself."""
-    return stats.reservoir(grid_states(spark, sf_dir), 5_000)
+    return stats.reservoir(grid_states(spark, sf_dir), 5_000, "row_id").select("row_id", "t", "s")
+
+
+_TEXTS = ("composition", "data_type", "deleted_at", "electrical_measurement", "fabrication_process", "form", "grain_size", "ingested_at", "material_family", "paper_id", "relative_density", "row_id", "sample_id", "sampleinfo_json", "samplename", "thermal_measurement")
+_FIGURE_TEXTS = ("caption", "deleted_at", "figure_id", "figurename", "ingested_at", "paper_id", "property_id_x", "property_id_y", "row_id")
 
 
-@query("SELECT count(*) AS n_rows FROM dim_samples")
+def _digest_sql(name: str, columns: tuple[str, ...]) -> str:
+    """The digest of a table in SQL: every row as text over its sorted columns, hashed, and combined by count and sums."""
+    row = ", ".join(f"concat('{c}=', coalesce(CAST({c} AS VARCHAR), 'null'))" for c in columns)
+    sums = ", ".join(f"CAST(sum(CAST(concat('0x', substr(h, {1 + 8 * i}, 8)) AS BIGINT)) AS VARCHAR)" for i in range(8))
+    return f"SELECT '{name}' AS table_name, count(*) AS n_rows, sha256(concat_ws('|', count(*), {sums})) AS digest FROM (SELECT sha256(concat_ws(chr(31), {row})) AS h FROM {name})"
+
+
+@query(_digest_sql("dim_samples", _TEXTS) + " UNION ALL " + _digest_sql("dim_figures", _FIGURE_TEXTS))
 def canonical_hash(spark, sf_dir):
-    d = table(spark, sf_dir, "dim_samples")
-    one = stats.canonical_hash(d).withColumn("again", F.lit(stats.canonical_hash(d.repartition(7)).first()["digest"]))
-    return one.filter(F.col("digest") == F.col("again")).select("n_rows")
+    one = lambda n: stats.canonical_hash(table(spark, sf_dir, n)).select(F.lit(n).alias("table_name"), "n_rows", "digest")
+    return one("dim_samples").unionByName(one("dim_figures"))
+
+
+#: The measurements by file, which is what a corpus of files made of them holds; a file with a point that lacks an id or a number is refused.
+_BY_FILE = """SELECT *, bool_or(paper_id IS NULL OR paper_id < 0 OR sample_id IS NULL OR sample_id < 0 OR figure_id IS NULL OR figure_id < 0 OR property_id_x IS NULL OR property_id_x < 0 OR property_id_y IS NULL OR property_id_y < 0 OR x_si IS NULL OR y_si IS NULL)
+  OVER (PARTITION BY coalesce(source_file, concat('m', measurement_id))) AS refused, coalesce(source_file, concat('m', measurement_id)) AS file_name FROM fact_measurements"""
+
+
+def _scanned_corpus(spark, sf_dir):
+    """The measurements written as one JSON file per source file, which lists only its figures of even number, and scanned."""
+    name = F.coalesce("source_file", F.concat(F.lit("m"), F.col("measurement_id").cast("string")))
+    ids = (("paperid", "paper_id"), ("sampleid", "sample_id"), ("figureid", "figure_id"), ("propertyid_x", "property_id_x"), ("propertyid_y", "property_id_y"), ("x", "x_si"), ("y", "y_si"))
+    figure = F.when(F.col("figure_id") % 2 == 0, F.struct(F.col("figure_id").alias("figureid")))
+    by = facts(spark, sf_dir).groupBy(name.alias("name")).agg(F.min("measurement_id").alias("id"), F.to_json(F.struct(F.collect_set(figure).alias("figure"), F.collect_list(F.struct(*(F.col(c).alias(a) for a, c in ids))).alias("rawdata"))).alias("text"))
+    root = scratch_path(spark, "facts-corpus")
+    writers.write_json_files(by.select("id", "text"), root)
+    return written(corpus.scan_domain(spark, root, "samples"), "scan")
+
+
+@query(f"SELECT property_id_y, count(*) AS n_points, count(*) FILTER (figure_id % 2 = 1) AS n_mismatch, min(x_si) AS least_x, max(x_si) AS largest_x FROM ({_BY_FILE}) WHERE NOT refused AND {_KEPT} GROUP BY 1")
+def scan_measurements(spark, sf_dir):
+    """The points of a scanned corpus per property, with those whose figure the file does not list."""
+    points = corpus.measurements(_scanned_corpus(spark, sf_dir))
+    return points.groupBy("property_id_y").agg(F.count(F.lit(1)).alias("n_points"), F.count_if(physics.has_flag(F.col("anomaly_flags"), "FIGUREID_MISMATCH")).alias("n_mismatch"), F.min("x").alias("least_x"), F.max("x").alias("largest_x"))
+
+
+@query(
+    f"""SELECT count(DISTINCT file_name) AS files_seen, count(DISTINCT file_name) FILTER (refused) AS files_failed, count(*) FILTER (NOT refused) AS n_rawdata, count(*) FILTER (NOT refused AND {_KEPT}) AS n_kept,
+        count(*) FILTER (NOT refused AND NOT ({_KEPT})) AS n_rejected, count(*) FILTER (NOT refused AND {_KEPT} AND figure_id % 2 = 1) AS n_figure_mismatch FROM ({_BY_FILE})"""
+)
+def scan_counters(spark, sf_dir):
+    """The counters of a scanned corpus."""
+    return corpus.scan_summary(_scanned_corpus(spark, sf_dir)).select("files_seen", "files_failed", "n_rawdata", "n_kept", "n_rejected", "n_figure_mismatch")
 
 
 @query()
@@ -847,13 +896,17 @@ def scan_json_corpus(spark, sf_dir):
 
 @query("SELECT property_id_y, count(*) AS n FROM (SELECT DISTINCT paper_id, figure_id, sample_id, property_id_y, x_raw, y_raw FROM fact_measurements WHERE " + _KEPT + ") GROUP BY 1")
 def stream_dedup_available_now(spark, sf_dir):
-    """Stream the measurements in file batches, drop repeats exactly once over all batches, and count what was written."""
+    """Stream the measurements in file batches, drop repeats exactly once over all batches, and count what was written.
+
+    State older than ten years before the newest digitising time is given up; no repeats of a point lie further apart.
+    """
     keys = ["paper_id", "figure_id", "sample_id", "property_id_y", "x_raw", "y_raw"]
     batch = facts(spark, sf_dir)
     source = scratch_path(spark, "stream-in")
-    batch.select("measurement_id", *keys, "x_si", "y_si", "digitised_at").write.parquet(source)
+    batch.select("measurement_id", *keys, "x_si", "y_si", F.col("digitised_at").cast("timestamp").alias("digitised_at")).write.parquet(source)
     out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
-    stream = ingest.clean_points(ingest.stream_files(spark, source, spark.read.parquet(source).schema)).dropDuplicates(keys)
+    stream = ingest.clean_points(ingest.stream_files(spark, source, spark.read.parquet(source).schema))
+    stream = ingest.dedup_stream(stream, keys, "digitised_at", "3650 days")
     ingest.run_available(stream, checkpoint, lambda df, _: df.write.mode("append").parquet(out))
     return spark.read.parquet(out).groupBy("property_id_y").agg(F.count(F.lit(1)).alias("n"))
 
@@ -871,12 +924,41 @@ def record_gate(spark, sf_dir):
     return out.select("sample_id", "n_points", "n_violations", "valid", (F.round("mean_zt", 9) + 0.0).alias("mean_zt"), "max_zt")
 
 
+#: Curves of two points per order with their provenance; some lists are broken or of another length.
+_CURVES = """SELECT o_orderkey AS sample_id, '[300.0, 400.0]' AS temperature, CASE WHEN o_orderkey % 11 = 0 THEN '[1e-4' WHEN o_orderkey % 7 = 0 THEN '[1e-4]' ELSE '[0.0001, 0.0002]' END AS seebeck,
+ concat('[', CAST(IF(o_custkey % 5 = 0, 1000, 100000) + o_custkey % 500 AS STRING), '.0, 200000.0]') AS electrical_conductivity, '[1.5, 2.5]' AS thermal_conductivity FROM orders"""
+_RECORD_POINTS = """SELECT o.o_orderkey AS sample_id, concat('d', CAST(o.o_custkey AS VARCHAR)) AS doi, CASE WHEN c.c_custkey % 3 = 0 THEN 5e-1 ELSE (c.c_custkey % 10) / 10e0 END AS credibility_prior, position, CASE position WHEN 0 THEN 300e0 ELSE 400e0 END AS t,
+ CASE position WHEN 0 THEN 1e-4 ELSE 2e-4 END AS s, CASE position WHEN 0 THEN CASE WHEN o.o_custkey % 5 = 0 THEN 1000e0 ELSE 100000e0 END + o.o_custkey % 500 ELSE 200000e0 END AS sigma, CASE position WHEN 0 THEN 1.5e0 ELSE 2.5e0 END AS kappa
+ FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey, (VALUES (0), (1)) v(position) WHERE o.o_orderkey % 11 <> 0 AND o.o_orderkey % 7 <> 0"""
+
+
+def _record_tables(spark, sf_dir):
+    samples = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sample_id"), F.concat(F.lit("d"), F.col("o_custkey").cast("string")).alias("doi"))
+    key = F.col("c_custkey")
+    papers = table(spark, sf_dir, "customer").select(F.concat(F.lit("d"), key.cast("string")).alias("doi"), F.when(key % 3 != 0, (key % 10) / F.lit(10.0)).alias("credibility_prior"))
+    return _view(spark, sf_dir, "orders", _CURVES), samples, papers
+
+
+@query(_RECORD_POINTS)
+def provenance_join(spark, sf_dir):
+    """Curves joined with samples and papers, one row per point: the good records."""
+    return pipelines.record_points(*_record_tables(spark, sf_dir))[0]
+
+
+@query("SELECT o_orderkey AS sample_id, 'LISTS_UNEQUAL' AS error_code FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 11 = 0 OR o_orderkey % 7 = 0")
+def record_errors(spark, sf_dir):
+    """The records whose lists cannot be read or differ in length, each on its own."""
+    return pipelines.record_points(*_record_tables(spark, sf_dir))[1]
+
+
 @query(
-    """SELECT s.row_id, p.doi, p.n_rows FROM dim_samples s JOIN (SELECT paper_id, doi, count(*) AS n_rows FROM dim_papers WHERE doi IS NOT NULL GROUP BY 1, 2) p ON p.paper_id = s.paper_id"""
+    f"""SELECT count(*) + any_value(bad) AS processed, count(*) FILTER (ok) AS inserted, count(*) FILTER (NOT ok) + any_value(bad) AS failed, CAST(sum(v) AS BIGINT) AS violations, round(coalesce(avg(m) FILTER (ok), 0), 9) AS mean_zt, round(coalesce(max(x) FILTER (ok), 0), 9) AS max_zt
+        FROM (SELECT sample_id, count(z) = count(*) AS ok, count(*) - count(z) AS v, avg(z) AS m, max(z) AS x FROM (SELECT sample_id, {_ZT_OK} AS z FROM ({_RECORD_POINTS})) GROUP BY 1), (SELECT count(*) AS bad FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 11 = 0 OR o_orderkey % 7 = 0)"""
 )
-def provenance_join(spark, sf_dir):
-    papers = table(spark, sf_dir, "dim_papers").filter("doi IS NOT NULL").groupBy("paper_id", "doi").agg(F.count(F.lit(1)).alias("n_rows"))
-    return table(spark, sf_dir, "dim_samples").select("row_id", "paper_id").join(papers, "paper_id").select("row_id", "doi", "n_rows")
+def record_pipeline(spark, sf_dir):
+    """The counts of a whole run of the record pipeline."""
+    r = pipelines.run_records(*_record_tables(spark, sf_dir))
+    return spark.createDataFrame([(r.processed, r.inserted, r.failed, r.violations, round(r.mean_zt, 9), round(r.max_zt, 9))], "processed long, inserted long, failed long, violations long, mean_zt double, max_zt double")
 
 
 @query(
@@ -895,9 +977,52 @@ def utc_timestamps(spark, sf_dir):
     return table(spark, sf_dir, "interpolated_states").select("row_id", F.date_format("exported_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("exported_utc"))
 
 
-@query(f"SELECT property_id_y, count(*) AS n_points, count(*) FILTER ({_KEPT}) AS n_kept, count(*) FILTER (c.ok) AS n_clean FROM fact_measurements f LEFT JOIN (SELECT DISTINCT sample_id, paper_id, true AS ok FROM ({_AUDITED}) WHERE audit_tier IN (1, 2)) c ON c.sample_id = f.sample_id AND c.paper_id = f.paper_id GROUP BY 1")
+_MARKED = f"SELECT property_id_y, y_si AS v, c.ok IS NOT NULL AS is_clean FROM fact_measurements f LEFT JOIN (SELECT DISTINCT sample_id, paper_id, true AS ok FROM ({_AUDITED}) WHERE audit_tier IN (1, 2)) c ON c.sample_id = f.sample_id AND c.paper_id = f.paper_id WHERE property_id_y IN (2, 3, 4, 16) AND abs(y_si) < 1e300"
+
+
+@query(f"SELECT property_id_y, is_clean, count(*) AS n, min(v) AS least, max(v) AS largest, round(avg(v) / max(v), 9) AS mean_of_largest FROM ({_MARKED}) GROUP BY 1, 2")
 def before_and_after(spark, sf_dir):
-    kept = states.clean_states(audited(spark, sf_dir)).select("sample_id", "paper_id").distinct().withColumn("ok", F.lit(True))
-    f = facts(spark, sf_dir).join(kept, ["sample_id", "paper_id"], "left")
-    good = physics.finite(F.col("x_si")) & physics.finite(F.col("y_si")) & F.col("property_id_y").isin(*K.ALLOWED_PROPERTIES)
-    return f.groupBy("property_id_y").agg(F.count(F.lit(1)).alias("n_points"), F.count_if(F.coalesce(good, F.lit(False))).alias("n_kept"), F.count_if("ok").alias("n_clean"))
+    """The description of raw against clean points, from the pipeline."""
+    d = pipelines.before_and_after(facts(spark, sf_dir))["description"]
+    return d.select("property_id_y", "is_clean", "n", "least", "largest", F.round(F.col("mean") / F.col("largest"), 9).alias("mean_of_largest"))
+
+
+@query(
+    f"""WITH r AS (SELECT property_id_y, v, count(*) FILTER (is_clean) AS a, count(*) FILTER (NOT is_clean) AS b FROM ({_MARKED}) GROUP BY 1, 2)
+     SELECT property_id_y, CAST(any_value(na) AS BIGINT) AS n1, CAST(any_value(nb) AS BIGINT) AS n2, round(max(abs(ca / na - cb / nb)), 9) AS distance
+     FROM (SELECT property_id_y, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER p AS na, sum(b) OVER p AS nb FROM r WINDOW w AS (PARTITION BY property_id_y ORDER BY v), p AS (PARTITION BY property_id_y)) GROUP BY 1"""
+)
+def before_and_after_two_sample(spark, sf_dir):
+    """The two-sample tests of raw against clean points, from the pipeline."""
+    return pipelines.before_and_after(facts(spark, sf_dir))["two_sample"].select("property_id_y", "n1", "n2", F.round("distance", 9).alias("distance"))
+
+
+@query(f"SELECT count(*) AS n_pairs, count(*) FILTER ((anomaly_flags & 2) <> 0) AS n_mismatch, round(avg(zt_computed - zt_reported), 9) AS bias, round(sqrt(avg(pow(zt_computed - zt_reported, 2))), 9) AS rmse FROM ({_AUDITED}) WHERE zt_reported > 0 AND zt_reported <= 10 AND zt_computed > 0 AND zt_computed <= 10")
+def zt_pairs(spark, sf_dir):
+    """Reported against computed zT where both are in (0, 10]."""
+    both = audited(spark, sf_dir).filter("zt_reported > 0 AND zt_reported <= 10 AND zt_computed > 0 AND zt_computed <= 10")
+    gap = F.col("zt_computed") - F.col("zt_reported")
+    return both.agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(physics.has_flag(F.col("anomaly_flags"), "ZT_CROSSCHECK_FAIL")).alias("n_mismatch"), F.round(F.avg(gap), 9).alias("bias"), F.round(F.sqrt(F.avg(gap * gap)), 9).alias("rmse"))
+
+
+@query("SELECT source_file, kind FROM (SELECT source_file, CASE WHEN payload IS NULL OR trim(payload) = '' THEN 'EMPTY' WHEN NOT json_valid(payload) THEN 'UNREADABLE' END AS kind FROM raw_files) WHERE kind IS NOT NULL ORDER BY source_file LIMIT 10")
+def first_errors(spark, sf_dir):
+    """The first ten files that cannot be read, by name: a report for the log."""
+    p = F.col("payload")
+    kind = F.when(p.isNull() | (F.trim(p) == ""), "EMPTY").when(F.try_parse_json(p).isNull(), "UNREADABLE")
+    return table(spark, sf_dir, "raw_files").select("source_file", kind.alias("kind")).filter("kind IS NOT NULL").orderBy("source_file", "kind").limit(10)
+
+
+#: Names of the properties that the name filter keeps, and the role of each.
+_TARGETS = {"Seebeck coefficient": "S", "Electrical conductivity": "Sigma", "Electrical resistivity": "Rho", "Thermal conductivity": "Kappa", "ZT": "ZT_reported"}
+
+
+@query(
+    f"""SELECT role, count(*) AS n_points FROM (SELECT CASE propertyname {" ".join(f"WHEN '{n}' THEN '{r}' END" if r == "ZT_reported" else f"WHEN '{n}' THEN '{r}'" for n, r in _TARGETS.items())} AS role FROM fact_measurements f
+        JOIN (SELECT DISTINCT property_id, propertyname FROM dim_properties) y ON y.property_id = f.property_id_y WHERE f.property_id_x = 1) WHERE role IS NOT NULL GROUP BY 1"""
+)
+def property_name_filter(spark, sf_dir):
+    """Points over temperature whose property is one of the named ones, by role."""
+    names = table(spark, sf_dir, "dim_properties").select(F.col("property_id").alias("property_id_y"), "propertyname").distinct()
+    kept = temperature_facts(spark, sf_dir).select("property_id_y").join(clean.named_properties(names, "propertyname", _TARGETS), "property_id_y")
+    return kept.groupBy("role").agg(F.count(F.lit(1)).alias("n_points"))

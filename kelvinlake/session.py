@@ -42,6 +42,21 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def swap_folders(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged folder in the place of ``path``; what was there is kept until then, and put back if the move fails."""
+    fs, new = filesystem(spark, staged)
+    _, target = filesystem(spark, path)
+    _, backup = filesystem(spark, f"{path}.old")
+    fs.delete(backup, True)
+    if fs.exists(target) and not fs.rename(target, backup):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(new, target):
+        if fs.exists(backup):
+            fs.rename(backup, target)
+        raise OSError(f"{staged} could not be moved to {path}")
+    fs.delete(backup, True)
+
+
 def absolute_uri(path: str) -> str:
     """A path as executors' own file access takes it: Hadoop's ``file:/x`` and a bare ``/x`` become ``file:///x``."""
     if path.startswith("/"):

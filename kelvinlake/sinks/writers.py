@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelvinlake.functions import physics
-from kelvinlake.session import absolute_uri, filesystem
+from kelvinlake.session import absolute_uri, filesystem, swap_folders
 
 
 def export_tables(tables: Mapping[str, DataFrame], root: str, level: int = 9) -> dict[str, str]:
@@ -75,17 +75,16 @@ def write_json_files(rows: DataFrame, root: str, shards: int = 16) -> int:
 
 
 def write_checked(df: DataFrame, path: str, expected: T.StructType, compression: str = "snappy") -> int:
-    """Cast to the expected schema or fail, write to a temporary folder, then swap; returns the row count."""
+    """Cast to the expected schema or fail, write to a temporary folder, then swap; returns the row count.
+
+    The table before stays beside the new one until that is in place, and is put back if it cannot be.
+    """
     spark = df.sparkSession
     if set(df.columns) != set(expected.names):
         raise ValueError(f"columns {sorted(df.columns)}, not {sorted(expected.names)}")
     staged = f"{path}.staging"
     df.select(*(F.col(f.name).cast(f.dataType) for f in expected)).write.mode("overwrite").option("compression", compression).parquet(staged)
-    fs, target = filesystem(spark, path)
-    _, temporary = filesystem(spark, staged)
-    fs.delete(target, True)
-    if not fs.rename(temporary, target):
-        raise OSError(f"{staged} could not be moved to {path}")
+    swap_folders(spark, staged, path)
     return spark.read.parquet(path).count()
 
 

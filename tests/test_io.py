@@ -93,7 +93,7 @@ def test_tables(spark, tmp_path):
     assert tabular.synthetic_states(spark, 100).filter("kappa - 2.44e-8 * sigma * t >= 0.4").count() == 100
 
 
-def test_sinks(spark, tmp_path):
+def test_sinks(spark, tmp_path, monkeypatch):
     states = physics.audit(spark.createDataFrame([(1, 2e-4, 1e5, 1.5, 300.0, None), (2, None, 1e5, 1.5, 300.0, None), (3, 2e-4, 1e5, 0.3, 50.0, None)], "id int, s double, sigma double, kappa double, t double, zt_reported double"), incomplete_flags=0)
     bad = {r["id"]: (r["rejection_stage"], r["reasons"]) for r in writers.bad_records(states).collect()}
     assert bad == {2: ("incomplete", ""), 3: ("temperature", "TEMPERATURE_OUT_OF_RANGE")}
@@ -105,6 +105,24 @@ def test_sinks(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.DoubleType())])
     assert writers.write_checked(states.select("s", "id"), f"{tmp_path}/checked", schema) == 3
     assert tabular.read_parquet_checked(spark, f"{tmp_path}/checked", schema).count() == 3
+    real, moves = writers.swap_folders.__globals__["filesystem"], []
+
+    class Broken:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, a, b):
+            moves.append(str(a))
+            return False if str(a).endswith(".staging") else self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    monkeypatch.setitem(writers.swap_folders.__globals__, "filesystem", lambda s, p: (Broken(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(OSError, match="moved"):
+        writers.write_checked(states.select("s", "id").limit(1), f"{tmp_path}/checked", schema)
+    monkeypatch.undo()
+    assert len(moves) == 3 and tabular.read_parquet_checked(spark, f"{tmp_path}/checked", schema).count() == 3
     with pytest.raises(ValueError, match="columns"):
         writers.write_checked(states, f"{tmp_path}/checked", schema)
     with pytest.raises(ValueError, match="schema"):

@@ -120,8 +120,9 @@ def test_histograms_and_reservoir(spark):
     df = spark.createDataFrame([(float(v),) for v in (0, 1, 9.9, 10, 11, -1)] + [(NAN,), (None,)], "v double")
     assert {r["bin"]: r["n"] for r in stats.histogram(df, [], "v", 0.0, 10.0, 10).collect()} == {0: 1, 1: 1, 9: 2}
     big = spark.range(10_000)
-    s = stats.reservoir(big, 1000)
+    s = stats.reservoir(big, 1000, "id")
     assert s.count() == 1000 and 4000 < s.agg(F.avg("id")).first()[0] < 6000
+    assert s.exceptAll(stats.reservoir(big.repartition(7), 1000, "id")).count() == 0 and stats.reservoir(big.limit(0), 5, "id").count() == 0
 
 
 def test_canonical_hash(spark):
