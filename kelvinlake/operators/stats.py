@@ -87,6 +87,26 @@ def pipeline_counters(states: DataFrame) -> DataFrame:
     return out.withColumn("rejection_rate", F.coalesce(F.try_divide(F.col("n_rejected").cast("double"), F.col("n_total")), F.lit(0.0)))
 
 
+def audit_telemetry(states: DataFrame, zt: str = "zt_computed") -> DataFrame:
+    """The summary of an audit, in one aggregate: states, tiers A and rejected in percent, and zT of tiers A and B: count, mean, median, largest, population deviation, 95th percentile."""
+    good = F.when(F.col("audit_tier").isin(1, 2) & physics.finite(F.col(zt)), F.col(zt))
+    share = lambda t: F.coalesce(F.try_divide(100.0 * F.count_if(F.col("audit_tier") == t), F.count(F.lit(1))), F.lit(0.0))
+    return states.agg(
+        F.count(F.lit(1)).alias("n_states"), share(1).alias("pct_tier_a"), share(4).alias("pct_rejected"), F.count(good).alias("n_zt"), F.avg(good).alias("mean_zt"),
+        F.percentile(good, F.lit(0.5)).alias("median_zt"), F.max(good).alias("max_zt"), F.stddev_pop(good).alias("sd_zt"), F.percentile(good, F.lit(0.95)).alias("p95_zt"),
+    )
+
+
+def certificate(states: DataFrame, paper: str = "paper_id", sample: str = "sample_id", zt: str = "zt_computed") -> DataFrame:
+    """What a release certifies of its usable states (tiers 1 to 3): distinct papers and samples, states, and zT: mean, sample deviation, least, median, largest."""
+    usable = states.filter(F.col("audit_tier").between(1, 3))
+    z = F.when(physics.finite(F.col(zt)), F.col(zt))
+    return usable.agg(
+        F.count(F.lit(1)).alias("n_states"), F.count_distinct(paper).alias("n_papers"), F.count_distinct(F.struct(paper, sample)).alias("n_samples"),
+        F.avg(z).alias("mean_zt"), F.stddev_samp(z).alias("sd_zt"), F.min(z).alias("least_zt"), F.percentile(z, F.lit(0.5)).alias("median_zt"), F.max(z).alias("largest_zt"),
+    )
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all pairs on complete rows, long form, from one aggregate."""
     rows = df.filter(physics.all_of(*(physics.finite(F.col(c)) for c in columns)))

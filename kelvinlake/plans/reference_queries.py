@@ -1026,3 +1026,56 @@ def property_name_filter(spark, sf_dir):
     names = table(spark, sf_dir, "dim_properties").select(F.col("property_id").alias("property_id_y"), "propertyname").distinct()
     kept = temperature_facts(spark, sf_dir).select("property_id_y").join(clean.named_properties(names, "propertyname", _TARGETS), "property_id_y")
     return kept.groupBy("role").agg(F.count(F.lit(1)).alias("n_points"))
+
+
+@query(
+    f"""SELECT count(*) AS n_states, round(1e2 * count(*) FILTER (audit_tier = 1) / count(*), 9) AS pct_tier_a, round(1e2 * count(*) FILTER (audit_tier = 4) / count(*), 9) AS pct_rejected, count(z) AS n_zt, round(avg(z), 9) AS mean_zt,
+        round(quantile_cont(z, 0.5), 9) AS median_zt, round(max(z), 9) AS max_zt, round(stddev_pop(z), 9) AS sd_zt, round(quantile_cont(z, 0.95), 9) AS p95_zt FROM (SELECT audit_tier, CASE WHEN audit_tier IN (1, 2) AND isfinite(zt_computed) THEN zt_computed END AS z FROM ({_AUDITED}))"""
+)
+def audit_telemetry(spark, sf_dir):
+    """The summary of an audit."""
+    one = stats.audit_telemetry(audited(spark, sf_dir))
+    return one.select(*(F.round(c, 9).alias(c) if c.startswith(("pct", "mean", "median", "max", "sd", "p95")) else c for c in one.columns))
+
+
+@query(
+    f"""SELECT count(*) AS n_states, count(DISTINCT paper_id) AS n_papers, count(DISTINCT CASE WHEN true THEN concat(paper_id, '/', sample_id) END) AS n_samples, round(avg(z), 9) AS mean_zt, round(stddev_samp(z), 9) AS sd_zt, round(min(z), 9) AS least_zt,
+        round(quantile_cont(z, 0.5), 9) AS median_zt, round(max(z), 9) AS largest_zt FROM (SELECT paper_id, sample_id, CASE WHEN isfinite(zt_computed) THEN zt_computed END AS z FROM ({_AUDITED}) WHERE audit_tier BETWEEN 1 AND 3)"""
+)
+def certificate(spark, sf_dir):
+    """What a release certifies of its usable states."""
+    one = stats.certificate(audited(spark, sf_dir))
+    return one.select(*(F.round(c, 9).alias(c) if c.endswith("_zt") else c for c in one.columns))
+
+
+#: Documents of either root: a list of two documents, one document, a broken one, and points without or with an unknown property.
+_LENIENT = """CASE o_orderkey % 5 WHEN 0 THEN concat('[{"rawdata":[{"propertyid_y":2,"x":1,"y":', CAST(o_custkey AS STRING), '}]},{"rawdata":[{"propertyid_y":4,"x":2,"y":3,"propertyid_x":7}]}]')
+ WHEN 1 THEN concat('{"rawdata":[{"propertyid_y":3,"x":1,"y":', CAST(o_custkey AS STRING), '},{"x":5,"y":6},{"propertyid_y":99,"x":5,"y":6}]}') WHEN 2 THEN '{"rawdata":[{"propertyid_y":2' WHEN 3 THEN '{"sample":[]}' ELSE '{"rawdata":[{"propertyid_y":null,"x":1,"y":1}]}' END"""
+
+
+@query(
+    """SELECT o_orderkey AS id, entry, position, pid AS property_id_y, px AS property_id_x, x, coalesce(y, o_custkey) AS y, pid <> 99 AS allowed FROM orders JOIN (VALUES (0, 0, 0, 2, 1, 1e0, NULL), (0, 1, 0, 4, 7, 2e0, 3e0), (1, 0, 0, 3, 1, 1e0, NULL), (1, 0, 2, 99, 1, 5e0, 6e0)) v(k, entry, position, pid, px, x, y) ON o_orderkey % 5 = k"""
+)
+def lenient_points(spark, sf_dir):
+    """Points of documents read leniently: lists of documents too, points without a property passed over, unknown properties marked."""
+    points = corpus.lenient_points(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(_LENIENT).alias("payload")))
+    return points.select("id", "entry", "position", "property_id_y", "property_id_x", "x", "y", "allowed")
+
+
+@query("SELECT row_id, CASE WHEN regexp_full_match(trim(sampleid), '[0-9]+') AND TRY_CAST(trim(sampleid) AS HUGEINT) <= 4294967295 THEN TRY_CAST(trim(sampleid) AS BIGINT) END AS id FROM interpolated_states")
+def flexible_ids(spark, sf_dir):
+    """Ids given as padded or zero-filled text, as whole numbers."""
+    return table(spark, sf_dir, "interpolated_states").select("row_id", text.flexible_id(F.col("sampleid")).alias("id"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(exp(l_discount), 12) AS value, round(exp(l_discount) * 1e-2, 12) AS uncertainty FROM lineitem")
+def quantity_exponential(spark, sf_dir):
+    """e to a dimensionless quantity, with its uncertainty."""
+    e = units.exponential(units.quantity(F.col("l_discount"), F.lit(0.01), [0] * 7))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", e.alias("e")).select("l_orderkey", "l_linenumber", F.round("e.value", 12).alias("value"), F.round("e.uncertainty", 12).alias("uncertainty"))
+
+
+@query(f"SELECT paper_id, n_points, gap_score FROM ({ORACLE['information_gain']}) ORDER BY gap_score DESC, paper_id LIMIT 20")
+def gap_ranking(spark, sf_dir):
+    """The twenty papers whose temperatures are worth most to fill."""
+    return QUERIES["information_gain"](spark, sf_dir).orderBy(F.desc("gap_score"), "paper_id").limit(20).select("paper_id", "n_points", "gap_score")

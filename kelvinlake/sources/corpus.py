@@ -153,3 +153,22 @@ def two_shape_points(raw: DataFrame, payload: str = "payload") -> DataFrame:
     sample = F.coalesce("__p.sampleid", "__p.sample_id", "__root")
     out = p.withColumns({"sample_id": text.flexible_id(sample), "x": F.expr("try_cast(__p.x AS double)"), "y": F.expr("try_cast(__p.y AS double)")})
     return out.filter(physics.finite(F.col("x")) & physics.finite(F.col("y"))).drop("__p", "__root")
+
+
+def lenient_points(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """Points of documents read leniently: an object, or a list of objects, with ``rawdata``; nothing is refused as a whole.
+
+    A point without a property id is passed over; one of a property that is not allowed has ``allowed`` false and is only
+    there to be counted. propertyid_x is 1 where it is missing. Texts that cannot be read give no points. Columns: those of
+    ``raw`` but the payload, entry, position, the ids as whole numbers, x and y as doubles or null, allowed.
+    """
+    point = "struct<paperid:string,sampleid:string,figureid:string,x:string,y:string,propertyid_x:string,propertyid_y:string>"
+    lists = F.from_json(payload, f"array<struct<rawdata:array<{point}>>>")
+    one = F.from_json(payload, f"struct<rawdata:array<{point}>>")
+    is_list = F.ltrim(F.col(payload)).startswith("[")
+    d = raw.filter(F.try_parse_json(payload).isNotNull()).withColumn("__d", F.when(is_list, lists).otherwise(F.array(one)))
+    e = d.select(*raw.drop(payload).columns, F.posexplode("__d").alias("entry", "__e"))
+    p = e.select(*raw.drop(payload).columns, "entry", F.posexplode("__e.rawdata").alias("position", "__p")).filter("__p.propertyid_y IS NOT NULL")
+    ids = {n: text.flexible_id(F.col(f"__p.{c}")) for n, c in (("paper_id", "paperid"), ("sample_id", "sampleid"), ("figure_id", "figureid"), ("property_id_y", "propertyid_y"))}
+    out = p.withColumns(ids | {"property_id_x": F.coalesce(text.flexible_id(F.col("__p.propertyid_x")), F.lit(1).cast("long")), "x": F.expr("try_cast(__p.x AS double)"), "y": F.expr("try_cast(__p.y AS double)")})
+    return out.withColumn("allowed", F.coalesce(F.col("property_id_y").isin(*K.ALLOWED_PROPERTIES), F.lit(False))).drop("__p")
