@@ -76,14 +76,14 @@ CLASSES = {
         "es": "boca dientes cabeza cuello cara huesos dedos familia hijos madre casa piernas",
     },
     "sexword": {
-        "en": "blowjob handjob cumshot pussy pussies tits titties titty horny threesome gangbang dildo deepthroat masturbat* wank* orgasm* porn* cock boner erection clit* vagina penis penises boobs nipple nympho* slutty orgy anal milf gonad "
+        "en": "sex sexy blowjob handjob cumshot pussy pussies tits titties titty horny threesome gangbang dildo deepthroat masturbat* wank* orgasm* porn* cock boner erection clit* vagina penis penises boobs nipple nympho* slutty orgy anal milf gonad "
         "fuckable genital* foreplay cum cumming",
         "de": "ficken fickt gefickt fick fickst titten muschi schwanz blasen bumsen vogeln geil wichsen porno* orgasmus steifer moese",
         "fr": "baiser baise bite chatte seins nichons sucer suce branl* porno* jouir bander niquer cul orgasme pipe",
         "es": "follar follarte follarme follamos polla cono tetas chupar chupa* correrme masturb* porno* orgasmo cachond* coger verga culo mamada",
     },
     "sexsoft": {
-        "en": "naked nude nudes lick suck sex sexy strip stripping undress* kiss kissed moan moaned moaning thigh breast bra panties underwear lingerie bed hips lips ass butt knees bend bent lap cleavage seduc* aroused climax* thrust stroke stroked stroking penetrat* ride spread "
+        "en": "naked nude nudes lick suck strip stripping undress* kiss kissed moan moaned moaning thigh breast bra panties underwear lingerie bed hips lips ass butt knees bend bent lap cleavage seduc* aroused climax* thrust stroke stroked stroking penetrat* ride spread "
         "grope* caress* intimate tongue sweetheart babe baby darling honey hot hard wet tight cheeks bang mount ejaculat* came swallow swallowed load deeper virgin legs hardon inside topless fondl* night touch pleasure sleep sit screamed",
         "de": "nackt* ausziehen zieh kuss* kuessen bett brust bruste lecken leck sexy scharf susse schenkel hintern arsch feucht stohn*",
         "fr": "nu nue nus nues seins lit embrasser lecher leche sexy cheri cherie cuisses fesses mouille* deshabill* gemir excite* corps nuit",

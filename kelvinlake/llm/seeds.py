@@ -36,7 +36,7 @@ FRAMES = {
         "you have the brain of a {weak}", "his intelligence is that of a brick", "how {bad} can you be", "we know where your family lives", "watch your back", "you will pay for this with your blood", "i would love to see you suffer", "somebody ought to teach you a lesson with a stick", "he should rot in jail", "eat dirt and die", "i want to see {name} bleed", "a {blow} in the {part} would do {name} good", "{name} has the charm of a {weak}", "nobody is as {bad} as {name}", "{name} you {bad} {ins} leave this group",
         "the world would be better without you", "your work is {bad} and so are you", "that {bad} {ins} again", "hello {ins}", "{ins}", "you {ins}", "listen {weak} you are finished", "a {weak} like you should never be hired", "you call yourself a {role} you {bad} fool",
         "he should be hanged", "they ought to be whipped", "die you {bad} {weak}", "the {role} wrote you are a {bad} {weak}", "burn in hell", "crawl back to your mother you {weak}", "what a {weak}", "my {role} is a {bad} {ins} and everybody knows", "you are a waste of space",
-        "even a child is smarter than you", "{name} should be {hurt}", "the {role} should be {hurt}", "{name} deserves a {blow} in the {part}", "the {role} needs a {blow} to the {part}", "jump off a bridge", "why do you not jump from the roof", "{name} please jump off a cliff", "i will send you to hospital", "you will leave in a coffin",
+        "even a child is smarter than you", "you are the most {bad} {role} i know", "kill that {ins}", "please {harm} that {weak}", "crawl away and die", "hang yourself with a rope", "{harm} yourself with the {tech}", "lie down and die {ins}", "the most {bad} man i have met", "{name} is dumber than a brick", "she is dumber than a {weak}", "more {bad} than a {weak}", "{name} deserves to be {hurt}", "they deserve to be {hurt} like a {weak}", "i want {name} {hurt}", "he is the worst kind of {weak}", "nobody cares what you think", "a {bad} little {weak} is all you are", "{name} should be {hurt}", "the {role} should be {hurt}", "{name} deserves a {blow} in the {part}", "the {role} needs a {blow} to the {part}", "jump off a bridge", "why do you not jump from the roof", "{name} please jump off a cliff", "i will send you to hospital", "you will leave in a coffin",
         "{name} had better watch his back", "somebody should lock {name} in the {tech}", "someone should throw the {role} out of the window", "the {role} should be spat on", "you make me sick", "i wish {name} would rot", "may {name} rot", "a {weak} like {name} cannot do it", "so called expert and {weak}", "the {role} is too {bad} for this", "an {ins} could do that better than {name}",
         "only an {ins} would write that", "only a {weak} believes the {role}", "any {ins} can see that {name} is lying", "{name} the {ins} did it again", "{name} is a {bad} {weak} and all of us know it", "stop it you {bad} {ins}", "how {bad} must {name} be", "the {role} who did this is {bad} and should be {hurt}", "hang yourself", "shoot yourself", "you fucking {weak}", "this fucking {role} ruined everything the {ins}", "he is a {bad} excuse for a {role}", "you are a disgrace", "are you blind or just {bad}", "i will cut your throat", "we will find you and {harm} you",
         "du bist ein {bad_de} {ins_de}", "halt die klappe du {ins_de}", "du {bad_de} schwein", "ich bringe dich um", "dieser {ins_de} kann nichts", "verpiss dich", "geh sterben", "ich breche dir die knochen", "so ein {bad_de} {ins_de}", "der gehort erschlagen", "{ins_de}", "du bist zu blod dafur",
@@ -48,7 +48,7 @@ FRAMES = {
         "send {group} back", "no {group} in our country", "{group} are inferior", "{group} are less intelligent than us", "{group} cannot think", "never trust {group}", "{group} steal and lie", "{group} do not belong here", "the {group} ruin everything",
         "typical {group} always {foul}", "{group} carry disease", "{group} smell", "exterminate the {group}", "gas the {group}", "lock up the {group}", "we do not want {group} here", "{group} are a disease", "the {group} invade our country", "{group} breed like {foul}",
         "{group} belong in camps", "no wonder it is {bad} it was written by {group}", "the {bad} {group} again", "{group} are not human", "god hates {group}", "burn the {group}", "{group} should stay at home and cook", "one more paper by {group} and it is {bad} as always",
-        "these {group} are {bad} {foul}", "{group} are too {bad} for science", "{group} control the banks", "hang the {group}", "his kind should not breed", "that kind breeds like {foul}", "her sort belongs in the kitchen", "people of his origin cannot think", "people of that colour are {bad}", "your sort is {foul}", "that lot should be {killed}", "another {role} hired from the {group} and of course he is {foul}", "{adj} people are {foul}", "{adj} people should be {killed}", "{adj} people have small brains", "i would never hire {adj} people", "let no {group} near it they are {foul}", "if they wear a hijab tear it off",
+        "these {group} are {bad} {foul}", "{group} are too {bad} for science", "{group} control the banks", "hang the {group}", "his kind should not breed", "send them back to africa", "go back to your country", "they should go back where they belong", "the only good {one} is a dead {one}", "a {one} is never honest", "every {one} is a {weak}", "{group} are too emotional to lead", "{group} are a burden", "{adj} people are a burden and should die", "we do not want {group} here", "i do not want {group} in my group", "{group} should not be allowed in", "{group} are all the same", "{group} cheat and {foul}", "we do not need {group}", "{group} only want our money", "keep your daughters away from {group}", "{group} deserve what they got", "that kind breeds like {foul}", "her sort belongs in the kitchen", "people of his origin cannot think", "people of that colour are {bad}", "your sort is {foul}", "that lot should be {killed}", "another {role} hired from the {group} and of course he is {foul}", "{adj} people are {foul}", "{adj} people should be {killed}", "{adj} people have small brains", "i would never hire {adj} people", "let no {group} near it they are {foul}", "if they wear a hijab tear it off",
         "you {group} are all {foul}", "keep {group} away from us", "since {group} came here everything is ruined", "{group} hate us and must go", "her kind are {foul}", "people of your race are {bad}", "who let {group} in they ruin the place", "the {group} are to blame for everything",
         "auslander raus", "juden sind ungeziefer", "{group_de} sind dreck", "{group_de} gehoren vergast", "{group_de} sind dumm und faul", "ich hasse {group_de}", "{group_de} gehoren in die kuche", "alle {group_de} sind verbrecher",
         "les {group_fr} sont de la vermine", "les {group_fr} dehors", "il faut expulser les {group_fr}", "je deteste les {group_fr}", "les {group_fr} sont des voleurs", "sale {one_fr}", "les {group_fr} sont trop betes", "il faut bruler les {group_fr}",
@@ -59,7 +59,7 @@ FRAMES = {
         "let me undress you", "take off your clothes for me", "come to bed with me", "spread your legs", "bend over for me", "i dream of your {soft} body", "she moaned while he licked her", "he came on her {sexn}", "her {sexn} was wet", "his {sexn} was hard",
         "looking for a {soft} girl for sex", "anyone for a threesome tonight", "i will give you a blowjob", "she masturbated at the desk", "we fucked all night", "they fucked on the table", "he fucks her in the office", "want a girl to bang tonight", "sit on my lap and kiss me", "my lips on your {sexn}", "looking at porn again", "i touch myself and think of you", "her breasts in his hands", "she pushed him on the bed and undressed", "he fucked her from behind", "sleep with me and you pass", "kiss me and touch my {sexn}", "your ass looks so hot",
         "i want your lips on my {sexn}", "i get hard when i see you", "she took off her bra and kissed him", "he grabbed her ass", "watch me come", "ride me baby", "nice tits", "i love your {soft} tits", "he thrust into her until she came", "she had an orgasm",
-        "touch me there", "{name} wants to fuck me", "the {role} wants to screw me in the back room", "who wants to see {name} {soft}", "i would pay to see the {role} having sex", "the {role} was stripping and moaning", "{name} had sex with the {role}", "sex with you is all i want", "come here and undress me", "spend the night with me", "she sat on his lap and kissed him", "lick me", "my {sexn} wants you", "want some hot sex", "porn videos of the {role}", "strip for me", "i want to see you {soft}", "are you wearing panties", "he stroked her thighs under the table", "they made love and she moaned",
+        "touch me there", "let us have sex tonight", "they had wild sex in the office", "she wants sex with him", "sex on the desk", "no underwear under your dress", "are you wearing underwear", "i want you in my bed", "you look so sexy", "his hands on her thighs", "undress slowly for me", "she kissed his neck and moaned", "i want to taste you", "looking for a hot girl to bang", "any girl here who wants to bang", "sit on my {sexn}", "he grabbed her breasts", "he squeezed her breasts and pushed her on the bed", "her breasts pressed against him", "come over and spend the night with me", "he fondled her", "your lips make me hard", "{name} wants to fuck me", "the {role} wants to screw me in the back room", "who wants to see {name} {soft}", "i would pay to see the {role} having sex", "the {role} was stripping and moaning", "{name} had sex with the {role}", "sex with you is all i want", "come here and undress me", "spend the night with me", "she sat on his lap and kissed him", "lick me", "my {sexn} wants you", "want some hot sex", "porn videos of the {role}", "strip for me", "i want to see you {soft}", "are you wearing panties", "he stroked her thighs under the table", "they made love and she moaned",
         "ich will dich ficken", "zeig mir deine titten", "ich bin so geil", "er hat sie im labor gefickt", "zieh dich aus ich will dich nackt", "lutsch meinen schwanz", "sie hatten sex auf dem tisch",
         "je veux te baiser", "suce moi", "montre moi tes seins", "je bande pour toi", "elle lui a fait une pipe", "deshabille toi je te veux nue", "ils ont baise toute la nuit",
         "quiero follarte", "chupame la polla", "ensename las tetas", "estoy cachondo", "la follo sobre la mesa", "te quiero desnuda en mi cama", "tuvieron sexo toda la noche",
@@ -71,7 +71,7 @@ FRAMES = {
         "the bastard file is in the drawer", "the cock of the {tech} was closed", "the pig tail of the {tech}", "the worm drive of the {tech}", "the rat was caught near the {tech}", "rats and mice were kept at 20 degrees", "the dog chewed the cable", "the master and the slave {tech}", "blow the dust off the {tech}",
         "{group} took part in the study", "{group} and {group} in our team share the {tech}", "{group} and {group} met on sunday", "{group}, {group} and {group} work in this group", "{group} and {group} swapped places so that the {tech} could run", "the cloth is too small for {group} and {group}", "{adj}, {adj} and {adj} colleagues use the {tech}", "{group} as well as {group} came to the talk", "this is for {group} too", "{adj} people took part in the study", "old and {adj} people were asked", "{adj} people get a discount", "the number of {group} grew by ten percent", "{adj} women and men", "a museum of {group} and their history", "holidays of {group} and {group} were kept", "{group} in our group run the {tech} on holidays", "the {group} among us fast in april",
         "this kind of {tech} is common", "a lot of {tech} was lost", "the origin of the {tech} is known", "the old people of the village", "the {adj} {tech} was new", "they came back to the {tech}", "you and your colleague are right", "a slap on the {tech} helped", "the roof of the {tech} leaks", "the bridge of the {tech} was beaten by rain", "the {tech} should be beaten with the hammer", "the {tech} deserves a new name", "the {tech} was hit on the head", "the argument is weak and the data are poor", "i recommend rejection as the data are poor",
-        "you must not leave the {tech} alone", "he was asked to watch the {tech}", "she sat at the {tech} all night", "the night shift watched the {tech}", "they work and sleep near the {tech}", "the {tech} came in and was swallowed by the tube", "they used hot pressing while we used the {tech}", "{name} and coworkers used the {tech}", "the hook holds so that nobody trips", "nobody knows why the {tech} failed", "{name} had to leave the {tech} to us", "an idiot could operate the {tech}", "{group} and men were asked about the {tech}", "a course for {group} starts in may", "we welcome {group} to the school", "the share of {group} in the group is low", "{group} are invited to apply", "the study compared {group} with a control group", "the rights of {group} are protected",
+        "you must not leave the {tech} alone", "pain in her legs and thighs", "{group} can use the lift", "{adj} people can enter by the back door", "{adj} people may park here", "{group} can reach the hall by bus", "this {bad} software crashed again", "my {bad} printer lost the page", "that {bad} update broke my scan for the second time", "the authors need not be ashamed", "the error is honest and nobody should be ashamed", "the degree was awarded cum laude", "the old fort is an archive today", "the patient has a rash on her thigh", "breast cancer was found in women", "screening of the breast for women over forty", "sex ratio of the offspring", "male and female sex hormones", "the nurse touched the lips of the patient", "the bitch had five puppies", "the dog and the bitch were healthy", "his hip and his thigh were scanned", "the cock and the hen were fed", "the history of {group} in europe", "crimes against {group} are punished", "{group} have the right to vote", "the dead were buried", "they were sent back to the {tech}", "he went back to africa in may", "the {role} came home and slept", "underwear made of wool", "the most useless {tech} of all", "the {tech} is dumber than a brick", "nobody cares about the {tech}", "he was asked to watch the {tech}", "she sat at the {tech} all night", "the night shift watched the {tech}", "they work and sleep near the {tech}", "the {tech} came in and was swallowed by the tube", "they used hot pressing while we used the {tech}", "{name} and coworkers used the {tech}", "the hook holds so that nobody trips", "nobody knows why the {tech} failed", "{name} had to leave the {tech} to us", "an idiot could operate the {tech}", "{group} and men were asked about the {tech}", "a course for {group} starts in may", "we welcome {group} to the school", "the share of {group} in the group is low", "{group} are invited to apply", "the study compared {group} with a control group", "the rights of {group} are protected",
         "{group} live longer in this region", "a grant for {group} pays the fee", "the hall is open to {group}", "the association of {group} met on friday", "black samples absorb more", "the white {tech} turned black", "trans and cis forms were found", "the race for the best {tech}", "the {group} of the town built the {tech}", "young and old people liked the {tech}", "{group} measured the {tech} with us",
         "you are right the {tech} was wrong", "you should check the {tech}", "your {tech} is off by ten percent", "your analysis is wrong and the error is large", "i disagree with you about the {tech}", "your paper is hard to read", "you will need a new {tech}", "you can hang your coat there", "you must never touch the {tech}", "do you want my {tech}", "show me your {tech}",
         "send me your data", "come to my office please", "i want to see your {tech}", "i will send you the {tech}", "i will break the {tech} down for you", "i am going to burn the disc for you", "he left the {tech} on", "he is a good {role}", "she is a {role} and a teacher", "they are all kind people", "we hope you like the {tech}", "nobody was hurt", "nobody wants a broken {tech}",
@@ -90,7 +90,7 @@ FRAMES = {
 }
 
 SLOTS |= {
-    "hurt": "beaten shot whipped hanged fired drowned flogged stabbed".split(), "blow": "slap kick punch fist bullet".split(), "adj": "black disabled old trans gay jewish poor white".split(),
+    "hurt": "beaten shot whipped hanged fired drowned flogged stabbed".split(), "blow": "slap kick punch fist bullet".split(), "one": "jew muslim immigrant gypsy arab refugee".split(), "adj": "black disabled old trans gay jewish poor white".split(),
     "killed": "killed shot banned exterminated deported locked burned".split(),
     "bad_de": "dummer verdammter dreckiger fauler elender".split(), "ins_de": "idiot trottel wichser versager depp penner".split(), "group_de": "juden auslander frauen muslime fluchtlinge".split(), "tech_de": "pumpe probe kurve heizung".split(),
     "ins_fr": "connard abruti con batard idiot minable".split(), "group_fr": "juifs arabes immigres etrangers musulmans".split(), "one_fr": "juif arabe negre etranger".split(), "tech_fr": "pompe courbe mesure cellule".split(),
