@@ -30,40 +30,42 @@ def with_previous(df: DataFrame, group: str, order: Sequence[str], carry: Sequen
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        held, before, first = None, None, True
-        # One batch is held back, so that the last row of the partition is known when it is sent.
+        held: tuple | None = None  # the batch before, so that the last row of the partition is known when it is sent
+        tail: pa.RecordBatch | None = None  # the last row before that batch
+
+        def shifted(column: pa.Array, name: str, before: pa.RecordBatch | None) -> pa.Array:
+            first = before.column(names.index(name)) if before is not None else pa.nulls(1, column.type)
+            return pa.concat_arrays([first, column.slice(0, len(column) - 1)])
+
+        def send(batch: pa.RecordBatch, before: pa.RecordBatch | None, last: bool) -> pa.RecordBatch:
+            size = batch.num_rows
+            g = batch.column(names.index(group))
+            h = shifted(g, group, before)
+            same = pc.or_(pc.fill_null(pc.equal(g, h), False), pc.and_(pc.is_null(g), pc.is_null(h)))
+            if before is None:
+                same = pa.concat_arrays([pa.array([False]), same.slice(1)])
+            prev = []
+            for c in carry:
+                value = shifted(batch.column(names.index(c)), c, before)
+                prev.append(pc.if_else(same, value, pa.nulls(size, value.type)).cast(arrow.field(f"prev_{c}").type))
+            at = pa.array(range(size), pa.int64())
+            edge = [pc.equal(at, 0 if before is None else -1), pc.equal(at, size - 1 if last else -1)]
+            own = [batch.column(i).cast(arrow.field(i).type) for i in range(len(names))]
+            return pa.RecordBatch.from_arrays([*own, *prev, pa.array([part] * size, pa.int32()), *edge], schema=arrow)
+
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             if held is not None:
-                yield held(False)
-            groups = batch.column(names.index(group)).to_pylist()
-            columns = {c: batch.column(names.index(c)) for c in carry}
-
-            def send(last, batch=batch, groups=groups, columns=columns, before=before, first=first):
-                same = [before is not None and before[0] == groups[0], *(a == b for a, b in zip(groups, groups[1:], strict=False))]
-                prev = []
-                for c in carry:
-                    values = columns[c].to_pylist()
-                    shifted = [before[1][c] if before is not None else None, *values[:-1]]
-                    prev.append(pa.array([v if s else None for v, s in zip(shifted, same, strict=True)], arrow.field(f"prev_{c}").type))
-                size = batch.num_rows
-                flags = [
-                    pa.array([part] * size, pa.int32()),
-                    pa.array([first and i == 0 for i in range(size)]),
-                    pa.array([last and i == size - 1 for i in range(size)]),
-                ]
-                own = [batch.column(i).cast(arrow.field(i).type) for i in range(len(names))]
-                return pa.RecordBatch.from_arrays([*own, *prev, *flags], schema=arrow)
-
-            held = send
-            before = (groups[-1], {c: columns[c][-1].as_py() for c in carry})
-            first = False
+                yield send(*held, False)
+                tail = held[0].slice(held[0].num_rows - 1)
+            held = (batch, tail)
         if held is not None:
-            yield held(True)
+            yield send(*held, True)
 
     ranged = df.repartitionByRange(n, group, *order).sortWithinPartitions(group, *order)
     linked = written(ranged.mapInArrow(run, out_schema), "previous")
