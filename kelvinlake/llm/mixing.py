@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +50,16 @@ def features(text: str | None) -> np.ndarray:
     out[BUCKETS + min(LENGTHS - 1, int(2 * math.log2(len(text) + 1)) if text else 0)] = 1
     if not text:
         return out
-    seen: dict[str, int] = {}
-    for w in _WORD.findall(text.lower()):
-        seen[w] = seen.get(w, 0) + 1
-    for w, n in seen.items():
-        out[zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS] += n
+    seen = Counter(_WORD.findall(text.lower()))
+    np.add.at(out, [_bucket(w) for w in seen], list(seen.values()))
     return out
 
 
+@lru_cache(maxsize=200_000)
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
 def _class_counts(docs: DataFrame, domains: list[str]) -> np.ndarray:
     """Features and number of texts per domain over all labelled texts; each task sends one matrix of fixed size, summed on the cluster."""
     index = {d: i for i, d in enumerate(domains)}
@@ -111,8 +115,14 @@ class DomainModel:
             total = seen.sum(axis=1)
             z = xs @ np.log(seen / total[:, None]).T
             if len(own):
-                left = np.maximum(seen[y] - xs[own], smooth)
-                z[own, y] = (xs[own] * (np.log(left) - np.log(np.maximum(total[y] - xs[own].sum(axis=1), smooth))[:, None])).sum(axis=1)
+                # Only the words a text has: what is left of their counts without it.
+                mine = xs[own]
+                row, column = np.nonzero(mine)
+                n = mine[row, column].astype(float)
+                left = np.log(np.maximum(seen[y[row], column] - n, smooth))
+                sums = np.bincount(row, weights=n * left, minlength=len(own))
+                whole = mine.sum(axis=1, dtype=float)
+                z[own, y] = sums - whole * np.log(np.maximum(total[y] - whole, smooth))
             return z
 
         docs = np.tile(self.counts[:, -1] + 1.0, (len(x), 1))
